@@ -132,3 +132,19 @@ def format_gene(name: Column | str, organism: str) -> Column:
     if organism == "mouse":
         return F.concat(F.upper(F.left(n, F.lit(1))), F.lower(skip(n, 1)))
     return F.upper(n) if organism == "human" else n
+
+
+def fixed_point(x: Column | str, digits: int, bits: int = 46) -> Column:
+    """A non-negative number with ``digits`` decimals, rounded from its exact binary value, ties to even.
+
+    ``bits`` says how far to scale so that the double is a whole number: 46 suits 64 <= x < 128 and up,
+    and every smaller x whose last set bit is not below 2**-bits.
+    """
+    ten, unit, half = 10 ** digits, 1 << bits, 1 << (bits - 1)
+    whole = (col(x) * F.lit(float(unit))).cast("bigint").cast("decimal(38,0)") * F.lit(ten).cast("decimal(6,0)")
+    unit_c = F.lit(unit).cast("decimal(20,0)")
+    rest = whole % unit_c
+    down = ((whole - rest) / unit_c).cast("bigint")
+    up = (rest > half) | ((rest == half) & (down % 2 == 1))
+    q = down + up.cast("bigint")
+    return F.concat(F.floor(q / ten).cast("string"), F.lit("."), F.lpad((q % ten).cast("string"), digits, "0"))

@@ -158,21 +158,41 @@ def margin(length: Column | str, share: float) -> Column:
     return F.floor((F.col(length) if isinstance(length, str) else length) * F.lit(share)).cast("bigint")
 
 
-def windows_bruteforce(seqs: DataFrame, keys: list[str], length: int = 40, share: float = 0.1,
-                       probe_strand: bool = True, seq: str = "seq",
-                       table: NearestNeighbour = TABLES["DNA_RNA"]) -> DataFrame:
-    """Every window start in ``[int(share*len), len - int(share*len) - length)`` with its metrics."""
-    edge = margin("seq_len", share)
+def windows_between(seqs: DataFrame, keys: list[str], lo: Column, hi: Column, length: int = 40,
+                    probe_strand: bool = True, seq: str = "seq",
+                    table: NearestNeighbour = TABLES["DNA_RNA"]) -> DataFrame:
+    """Every window start in ``[lo, hi)``, both given over ``keys`` and ``seq_len``, with its metrics."""
     pieces = (cut_pieces(seqs.select(*keys, seq), seq, length - 1)
-              .withColumn("win_from", F.greatest(edge - F.col("piece_start"), F.lit(0)))
-              .withColumn("win_to", F.least(F.col("seq_len") - edge - length - F.col("piece_start"),
-                                            F.col("piece_size")))
+              .withColumn("win_from", F.greatest(lo - F.col("piece_start"), F.lit(0)))
+              .withColumn("win_to", F.least(hi - F.col("piece_start"), F.col("piece_size")))
               .filter("win_to > win_from"))
     out = rolling_windows(pieces, keys + ["seq_len", "piece_start"], length, probe_strand, table)
     return with_metrics(out.withColumn("pos", F.col("piece_start") + F.col("rel"))
                         .drop("piece_start", "rel"), length, probe_strand, table)
 
 
+def windows_bruteforce(seqs: DataFrame, keys: list[str], length: int = 40, share: float = 0.1,
+                       probe_strand: bool = True, seq: str = "seq",
+                       table: NearestNeighbour = TABLES["DNA_RNA"]) -> DataFrame:
+    """Every window start in ``[int(share*len), len - int(share*len) - length)`` with its metrics."""
+    edge = margin("seq_len", share)
+    return windows_between(seqs, keys, edge, F.col("seq_len") - edge - length, length, probe_strand, seq, table)
+
+
+def windows_on_strand(seqs: DataFrame, keys: list[str], strand: str = "strand", length: int = 40,
+                      share: float = 0.1, seq: str = "seq") -> DataFrame:
+    """Target-strand windows: on strand -1 the target is the reverse complement of the window.
+
+    The sequence is turned once, not every window; ``start`` and ``end`` stay in its given direction.
+    """
+    turned = seqs.withColumn(seq, F.when(F.col(strand) == -1, revcomp(seq)).otherwise(F.col(seq)))
+    edge, back = margin("seq_len", share), (F.col(strand) == -1).cast("int")
+    out = windows_between(turned, [*keys, strand], edge + back, F.col("seq_len") - edge - length + back,
+                          length, probe_strand=False, seq=seq)
+    start = F.when(F.col(strand) == -1, F.col("seq_len") - length - F.col("pos")).otherwise(F.col("pos"))
+    return out.withColumn("start", start).withColumn("end", F.col("start") + length).drop("pos")
+
+
 def windows_junction(seqs: DataFrame, keys: list[str], length: int = 40, reach: int = 100, step: int = 5,
                      seq: str = "seq") -> DataFrame:
     """Starts around one third and two thirds of the sequence, every ``step`` bases; ``ord`` is their order."""

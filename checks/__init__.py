@@ -2,7 +2,7 @@
 
 import importlib
 
-AREAS = ["windows", "sequence"]
+AREAS = ["windows", "sequence", "extraction", "sources"]
 
 
 def load():

@@ -134,11 +134,11 @@ def format_gene(name: Column | str, organism: str) -> Column:
     return F.upper(n) if organism == "human" else n
 
 
-def fixed_point(x: Column | str, digits: int, bits: int = 46) -> Column:
+def fixed_point(x: Column | str, digits: int, bits: int = 50) -> Column:
     """A non-negative number with ``digits`` decimals, rounded from its exact binary value, ties to even.
 
-    ``bits`` says how far to scale so that the double is a whole number: 46 suits 64 <= x < 128 and up,
-    and every smaller x whose last set bit is not below 2**-bits.
+    ``bits`` says how far to scale so that the double is a whole number: 50 suits 8 <= x < 4096,
+    60 suits 2**-7 <= x < 8.
     """
     ten, unit, half = 10 ** digits, 1 << bits, 1 << (bits - 1)
     whole = (col(x) * F.lit(float(unit))).cast("bigint").cast("decimal(38,0)") * F.lit(ten).cast("decimal(6,0)")

@@ -2,7 +2,7 @@
 
 import importlib
 
-AREAS = ["windows", "sequence", "extraction", "sources"]
+AREAS = ["windows", "sequence", "extraction", "sources", "isoforms"]
 
 
 def load():

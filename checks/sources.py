@@ -41,21 +41,19 @@ def _(spark, sf_dir):
     return got.select("name", F.replace("header", F.lit(" "), F.lit("")).alias("header"), "seq")
 
 
-@query("blast_xml_scan", using("hits", """SELECT concat('S', site_no) AS query_id, row_number() OVER (PARTITION BY site_no ORDER BY hit_no) AS hit_rank,
+@query("blast_xml_scan", using("hits", """SELECT concat('S', site_no) AS query_id, row_number() OVER (PARTITION BY site_no ORDER BY hit_no, hit_id, hit_def, score, evalue, identity, frame) AS hit_rank,
     CAST(1 AS BIGINT) AS hsp_no, hit_id, hit_def, evalue, round(round(identity * 100) / 100.0::DOUBLE, 6) AS identity, score, 1 AS query_frame, frame FROM hits"""))
 def _(spark, sf_dir):
-    tag = lambda name, c: F.concat(F.lit(f"<{name}>"), F.col(c).cast("string") if isinstance(c, str) else c, F.lit(f"</{name}>"))
-    hsp = F.concat(F.lit("<Hit_hsps><Hsp>"), tag("Hsp_num", F.lit("1")), tag("Hsp_score", "score"), tag("Hsp_evalue", "evalue"),
-                   tag("Hsp_query-frame", F.lit("1")), tag("Hsp_hit-frame", "frame"),
-                   tag("Hsp_identity", F.round(F.col("identity") * 100).cast("int").cast("string")), tag("Hsp_align-len", F.lit("100")),
-                   F.lit("</Hsp></Hit_hsps>"))
-    hit = F.concat(F.lit("<Hit>"), tag("Hit_id", "hit_id"), tag("Hit_def", "hit_def"), hsp, F.lit("</Hit>"))
-    records = (hits(spark, sf_dir).groupBy("site_no").agg(F.sort_array(F.collect_list(F.struct("hit_no", hit.alias("x")))).alias("h"))
-               .select(F.concat(F.lit("<Iteration>"), tag("Iteration_query-def", F.concat(F.lit("S"), F.col("site_no").cast("string"), F.lit("|pos=1"))),
-                                F.lit("<Iteration_hits>"), F.array_join(F.transform("h", lambda v: v["x"]), ""),
-                                F.lit("</Iteration_hits></Iteration>")).alias("value")))
+    hsp = F.struct(F.lit(1).cast("bigint").alias("Hsp_num"), F.col("score").alias("Hsp_score"), F.col("evalue").alias("Hsp_evalue"),
+                   F.round(F.col("identity") * 100).cast("bigint").alias("Hsp_identity"), F.lit(100).cast("bigint").alias("Hsp_align-len"),
+                   F.lit(1).alias("Hsp_query-frame"), F.col("frame").alias("Hsp_hit-frame"))
+    hit = F.struct(F.col("hit_no").alias("Hit_num"), F.col("hit_id").alias("Hit_id"), F.col("hit_def").alias("Hit_def"),
+                   F.struct(F.array(hsp).alias("Hsp")).alias("Hit_hsps"))
+    records = (hits(spark, sf_dir).groupBy("site_no").agg(F.sort_array(F.collect_list(hit)).alias("Hit"))
+               .select(F.concat(F.lit("S"), F.col("site_no").cast("string"), F.lit("|pos=1")).alias("Iteration_query-def"),
+                       F.struct("Hit").alias("Iteration_hits")))
     out = scratch_path(spark, "xml")
-    records.write.text(out)
+    records.write.format("xml").option("rootTag", "BlastOutput").option("rowTag", "Iteration").save(out)
     return alignments.scan_alignments(spark, out).withColumn("identity", F.round("identity", 6))
 
 

@@ -225,12 +225,15 @@ def _(spark, sf_dir):
 
 cte("spliced", """SELECT x.gene, x.tx_id, any_value(x.strand) AS strand, string_agg(substr(t.seq, x.s, x.e - x.s), '' ORDER BY x.s) AS seq
   FROM tx_splices x JOIN transcripts t ON t.gene = x.gene GROUP BY 1, 2""", "tx_splices", "transcripts", keep=True)
-cte("walk", """SELECT w.gene, w.tx_id, w.strand, o, a.s + o - a.p AS start, b.s + o + 40 - b.p AS "end", substr(w.seq, o + 1, 40) AS t, c.i AS t1, d.i AS t2 FROM
-    (SELECT gene, tx_id, strand, seq, unnest(range(1, length(seq) - 40)) AS o FROM spliced) w
+cte("walk", """SELECT w.gene, w.tx_id, o, g, a.s + o - a.p AS start, b.s + o + 40 - b.p AS "end", c.i AS t1, d.i AS t2 FROM
+    (SELECT * FROM (SELECT gene, tx_id, o, len, CAST(sum(CASE WHEN b = CASE strand WHEN -1 THEN 'C' ELSE 'G' END THEN 1 ELSE 0 END)
+        OVER (PARTITION BY tx_id ORDER BY o ROWS BETWEEN CURRENT ROW AND 39 FOLLOWING) AS BIGINT) AS g
+      FROM (SELECT gene, tx_id, strand, length(seq) AS len, unnest(string_split(seq, '')) AS b, generate_subscripts(string_split(seq, ''), 1) - 1 AS o FROM spliced))
+     WHERE o >= 1 AND o < len - 40) w
     ASOF JOIN tx_sums a ON a.gene = w.gene AND a.tx_id = w.tx_id AND w.o >= a.p
     ASOF JOIN tx_sums b ON b.gene = w.gene AND b.tx_id = w.tx_id AND w.o + 40 >= b.p
     ASOF JOIN tx_sums c ON c.gene = w.gene AND c.tx_id = w.tx_id AND w.o + 10 >= c.p
-    ASOF JOIN tx_sums d ON d.gene = w.gene AND d.tx_id = w.tx_id AND w.o + 30 >= d.p""", "spliced", "tx_sums")
+    ASOF JOIN tx_sums d ON d.gene = w.gene AND d.tx_id = w.tx_id AND w.o + 30 >= d.p""", "spliced", "tx_sums", keep=True)
 cte("walk_chain", """SELECT x.tx_id, x.t1, x.t2, string_agg(c.s || '-' || c.e, ',' ORDER BY c.i) AS chain FROM (SELECT DISTINCT tx_id, t1, t2 FROM walk) x
     JOIN tx_sums c ON c.tx_id = x.tx_id AND c.i BETWEEN x.t1 AND x.t2 GROUP BY 1, 2, 3""", "walk", "tx_sums")
 cte("walk_iso", """SELECT a.gene, a.chain, array_to_string(list_sort(list_distinct(list(b.tx_id))), ',') AS target_isoforms FROM
@@ -239,12 +242,16 @@ cte("walk_iso", """SELECT a.gene, a.chain, array_to_string(list_sort(list_distin
     ON a.gene = b.gene AND contains(b.whole, ',' || a.chain || ',') GROUP BY 1, 2""", "walk_chain", "tx_sums")
 
 
-@query("windows_spliced", using("walk walk_chain walk_iso", f"""SELECT w.gene, w.tx_id, i.target_isoforms, t2 - t1 + 1 AS n, count(*) AS windows, CAST(sum(start) AS BIGINT) AS start_total,
-    CAST(sum("end") AS BIGINT) AS end_total, CAST(sum(40 - length(replace(CASE strand WHEN -1 THEN {sql_revcomp('t')} ELSE t END, 'G', ''))) AS BIGINT) AS g_total
-  FROM walk w JOIN walk_chain c USING (tx_id, t1, t2) JOIN walk_iso i ON i.gene = w.gene AND i.chain = c.chain GROUP BY 1, 2, 3, 4"""))
+cte("walk_named", "SELECT c.tx_id, c.t1, c.t2, i.target_isoforms FROM walk_chain c JOIN walk_iso i ON i.gene = split_part(c.tx_id, '_', 1) AND i.chain = c.chain",
+    "walk_chain", "walk_iso", keep=True)
+
+
+@query("windows_spliced", using("walk walk_named", """SELECT w.gene, w.tx_id, target_isoforms, w.t2 - w.t1 + 1 AS n, count(*) AS windows, CAST(sum(start) AS BIGINT) AS start_total,
+    CAST(sum("end") AS BIGINT) AS end_total, CAST(sum(g) AS BIGINT) AS g_total
+  FROM walk w JOIN walk_named c ON c.tx_id = w.tx_id AND c.t1 = w.t1 AND c.t2 = w.t2 GROUP BY 1, 2, 3, 4"""))
 def _(spark, sf_dir):
     e = ex(spark, sf_dir)
-    w = iso.with_chain_isoforms(iso.spliced_windows(loci(spark, sf_dir), e), e)
+    w = iso.spliced_windows(loci(spark, sf_dir), e)
     return (w.groupBy("gene", "tx_id", F.concat_ws(",", "target_isoforms").alias("target_isoforms"), "n")
             .agg(F.count("*").alias("windows"), F.sum("start").alias("start_total"), F.sum("end").alias("end_total"),
                  F.sum(base_count("target", "G").cast("bigint")).alias("g_total")))

@@ -282,30 +282,24 @@ def splice_rows(exons: DataFrame, length: int) -> DataFrame:
     return rows.select("gene", "tx_id", "strand", "total", "p0", "p1", near.alias("near"))
 
 
-def spliced_windows(loci: DataFrame, exons: DataFrame, length: int = 40, tolerance: int = 10) -> DataFrame:
-    """Windows of ``length`` exonic bases of every isoform, walked in spliced coordinates, with target metrics.
+def spliced_runs(exons: DataFrame, length: int = 40, tolerance: int = 10) -> DataFrame:
+    """Runs of spliced window starts [off, off_end) that touch the same splices, with their isoforms.
 
-    ``target`` is the spliced target on the strand of the isoform, ``touched`` the splices it covers, and
-    ``chain`` the ``n`` splices within ``tolerance`` spliced bases of its middle. Windows are made per splice from
-    the few splices near it, so a row never carries a whole gene.
+    ``touched`` are the splices of the window, ``n`` the number of splices within ``tolerance`` spliced bases of its
+    middle, ``target_isoforms`` the isoforms that hold those in a row. ``start`` and ``end`` are the genomic ends of
+    the first window; later ones move along. One row per run, so chains are looked up before any window exists.
     """
-    rows = splice_rows(exons, length)
-    text = F.array_join(F.transform("sp", lambda x: F.col("seq").substr(x["s"].cast("int"), (x["e"] - x["s"]).cast("int"))), "")
-    spliced = _ordered(exons).join(loci.select("gene", "seq"), "gene").select("gene", "tx_id", text.alias("spliced"))
-    size = F.least(F.col("p1") - F.col("p0") + length - 1, F.col("total") - F.col("p0"))
-    pieces = rows.join(spliced, ["gene", "tx_id"]).withColumn("piece", F.col("spliced").substr(
-        (F.col("p0") + 1).cast("int"), size.cast("int"))).drop("spliced")
-    # offsets 1 .. total - length - 1; on strand -1 the text is turned and so are the starts
-    lo = F.greatest(F.lit(1) - F.col("p0"), F.lit(0))
-    hi = F.least(F.col("p1"), F.col("total") - length) - F.col("p0")
-    n = F.length("piece").cast("bigint")
-    pieces = (pieces.withColumn("plen", n).withColumn("piece", F.when(F.col("strand") == -1, revcomp("piece")).otherwise(F.col("piece")))
-              .withColumn("win_from", F.when(F.col("strand") == -1, n - length + 1 - hi).otherwise(lo))
-              .withColumn("win_to", F.when(F.col("strand") == -1, n - length + 1 - lo).otherwise(hi))
-              .filter("win_to > win_from"))
-    keys = ["gene", "tx_id", "strand", "p0", "plen", "near"]
-    w = with_metrics(rolling_windows(pieces, keys, length, probe_strand=False), length, probe_strand=False)
-    w = w.withColumn("off", F.col("p0") + F.when(F.col("strand") == -1, F.col("plen") - length - F.col("rel")).otherwise(F.col("rel")))
+    rows, half = splice_rows(exons, length), length // 2
+    shifts = (length, half - tolerance, half + tolerance)
+
+    def changes(d: int) -> Column:
+        return F.filter(F.transform("near", lambda x: x["p"] - d), lambda c: (c > F.col("p0")) & (c < F.col("p1")))
+
+    points = F.array_sort(F.array_distinct(F.concat(F.array("p0", "p1"), *[changes(d) for d in shifts])))
+    pairs = F.zip_with(F.col("c"), F.slice("c", 2, F.size("c")), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    runs = (rows.withColumn("c", points).withColumn("r", F.explode(pairs)).filter("r.b IS NOT NULL")
+            .withColumn("off", F.greatest(F.col("r.a"), F.lit(1))).withColumn("off_end", F.least(F.col("r.b"), F.col("total") - length))
+            .filter("off_end > off"))
 
     def place(offset: Column) -> Column:
         return F.size(F.filter("near", lambda x: x["p"] <= offset))
@@ -313,28 +307,43 @@ def spliced_windows(loci: DataFrame, exons: DataFrame, length: int = 40, toleran
     def genomic(offset: Column, at: Column) -> Column:
         return F.element_at("near", at)["s"] + offset - F.element_at("near", at)["p"]
 
-    half = length // 2
     off = F.col("off")
-    w = (w.withColumn("i2", place(off + length)).withColumn("t1", place(off + half - tolerance))
-         .withColumn("t2", place(off + half + tolerance)))
+    runs = (runs.withColumn("i2", place(off + length)).withColumn("t1", place(off + half - tolerance))
+            .withColumn("t2", place(off + half + tolerance)))
     chain = F.slice("near", F.col("t1"), F.col("t2") - F.col("t1") + 1)
-    return (w.withColumn("start", genomic(off, F.lit(1))).withColumn("end", genomic(off + length, F.col("i2")))
-            .withColumn("touched", F.transform(F.slice("near", F.lit(1), F.col("i2")), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
-            .withColumn("n", (F.col("t2") - F.col("t1") + 1).cast("bigint"))
-            .withColumn("chain_start", F.element_at(chain, 1)["s"]).withColumn("chain", chain_key(chain))
-            .drop("near", "p0", "plen", "rel", "i2", "t1", "t2", "n_bad"))
+    runs = runs.select(
+        "gene", "tx_id", "strand", "total", "off", "off_end", genomic(off, F.lit(1)).alias("start"),
+        genomic(off + length, F.col("i2")).alias("end"),
+        F.transform(F.slice("near", F.lit(1), F.col("i2")), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias("touched"),
+        (F.col("t2") - F.col("t1") + 1).cast("bigint").alias("n"), F.element_at(chain, 1)["s"].alias("chain_start"),
+        chain_key(chain).alias("chain"))
+    asked = runs.select("gene", "n", "chain", "chain_start").distinct()
+    held = rows.select("gene", "tx_id", F.element_at("near", 1)["s"].alias("chain_start"), "near")
+    found = (asked.join(held, ["gene", "chain_start"]).filter(chain_key(F.slice("near", F.lit(1), F.col("n").cast("int"))) == F.col("chain"))
+             .groupBy("gene", "chain").agg(F.array_sort(F.collect_set("tx_id")).alias("target_isoforms")))
+    return runs.join(found, ["gene", "chain"]).drop("chain", "chain_start")
 
 
-def with_chain_isoforms(windows: DataFrame, exons: DataFrame, length: int = 40) -> DataFrame:
-    """Adds ``target_isoforms``: the isoforms that hold the chain of a window without a gap.
+def spliced_windows(loci: DataFrame, exons: DataFrame, length: int = 40, tolerance: int = 10) -> DataFrame:
+    """Windows of ``length`` exonic bases of every isoform, walked in spliced coordinates, with target metrics.
 
-    Each distinct chain is looked up once, among the isoforms that have its first splice.
+    ``target`` is the spliced target on the strand of the isoform. Windows are made run by run from the text next to
+    it, so a row never carries a whole gene and nothing is shuffled after the windows appear.
     """
-    asked = windows.select("gene", "n", "chain", "chain_start").distinct()
-    held = splice_rows(exons, length).select("gene", "tx_id", F.element_at("near", 1)["s"].alias("chain_start"), "near")
-    found = (asked.join(held, ["gene", "chain_start"]).filter(chain_key(F.slice("near", F.lit(1), F.col("n").cast("int"))) == F.col("chain"))
-             .groupBy("gene", "chain").agg(F.array_sort(F.collect_set("tx_id")).alias("target_isoforms")))
-    return windows.join(found, ["gene", "chain"])
+    text = F.array_join(F.transform("sp", lambda x: F.col("seq").substr(x["s"].cast("int"), (x["e"] - x["s"]).cast("int"))), "")
+    spliced = _ordered(exons).join(loci.select("gene", "seq"), "gene").select("gene", "tx_id", text.alias("spliced"))
+    count = F.col("off_end") - F.col("off")
+    pieces = spliced_runs(exons, length, tolerance).join(spliced, ["gene", "tx_id"]).withColumn(
+        "piece", F.col("spliced").substr((F.col("off") + 1).cast("int"), (count + length - 1).cast("int")))
+    pieces = (pieces.withColumn("piece", F.when(F.col("strand") == -1, revcomp("piece")).otherwise(F.col("piece")))
+              .withColumn("last", count - 1).withColumn("win_from", F.lit(0)).withColumn("win_to", count))
+    keys = ["gene", "tx_id", "strand", "off", "last", "start", "end", "touched", "n", "target_isoforms"]
+    w = with_metrics(rolling_windows(pieces, keys, length, probe_strand=False), length, probe_strand=False)
+    # on strand -1 the text is turned, so the windows of a run come from its end
+    along = F.when(F.col("strand") == -1, F.col("last") - F.col("rel")).otherwise(F.col("rel"))
+    return (w.withColumn("along", along).withColumn("off", F.col("off") + F.col("along"))
+            .withColumn("start", F.col("start") + F.col("along")).withColumn("end", F.col("end") + F.col("along"))
+            .drop("last", "along", "rel", "n_bad"))
 
 
 def merged_regions(touched: str) -> Column:

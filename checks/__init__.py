@@ -2,7 +2,7 @@
 
 import importlib
 
-AREAS = ["windows", "sequence", "extraction", "sources", "isoforms"]
+AREAS = ["windows", "sequence", "extraction", "sources", "isoforms", "hits"]
 
 
 def load():

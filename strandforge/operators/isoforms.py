@@ -275,11 +275,14 @@ def splice_rows(exons: DataFrame, length: int) -> DataFrame:
     """
     full = F.zip_with(F.col("sp"), F.slice("pre", 1, F.size("sp")), lambda x, p: F.struct(
         x["s"].alias("s"), x["e"].alias("e"), p.alias("p")))
-    rows = (_ordered(exons).withColumn("total", F.element_at("pre", -1)).withColumn("full", full)
-            .select("gene", "tx_id", "strand", "total", "full", F.posexplode("full").alias("i", "x"))
-            .withColumn("p0", F.col("x.p")).withColumn("p1", F.col("x.p") + F.col("x.e") - F.col("x.s")))
-    near = F.filter(F.slice("full", F.col("i") + 1, F.lit(length + 2)), lambda y: y["p"] < F.col("p1") + length)
-    return rows.select("gene", "tx_id", "strand", "total", "p0", "p1", near.alias("near"))
+    def row(x: Column, i: Column) -> Column:
+        after = x["p"] + x["e"] - x["s"]
+        near = F.filter(F.slice("full", i + 1, F.lit(length + 2)), lambda y: y["p"] < after + length)
+        return F.struct(x["p"].alias("p0"), after.alias("p1"), near.alias("near"))
+
+    return (_ordered(exons).withColumn("full", full)
+            .select("gene", "tx_id", "strand", F.element_at("pre", -1).alias("total"), F.explode(F.transform("full", row)).alias("r"))
+            .select("gene", "tx_id", "strand", "total", "r.p0", "r.p1", "r.near"))
 
 
 def spliced_runs(exons: DataFrame, length: int = 40, tolerance: int = 10) -> DataFrame:

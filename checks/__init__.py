@@ -2,7 +2,7 @@
 
 import importlib
 
-AREAS = ["windows", "sequence", "extraction", "sources", "isoforms", "hits"]
+AREAS = ["windows", "sequence", "extraction", "sources", "isoforms", "hits", "panels"]
 
 
 def load():

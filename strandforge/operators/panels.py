@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..functions.sequence import suffix_prefix_overlap
 from .ranking import first_per, ranked
 
 # Primers, barcode columns and placeholder counts of the panels.
@@ -92,7 +93,6 @@ def multi_site_panel(sites: DataFrame, genes: DataFrame, barcodes: DataFrame, pa
     with_sites = genes.join(sites.select("gene").distinct(), "gene", "left_semi")
     few = first_per(sites.filter(good), ["gene"], [site_order], per_gene)
     # at most per_gene rows per gene are left, so numbering them is a small window
-    from pyspark.sql import Window
     few = few.withColumn("n", F.row_number().over(Window.partitionBy("gene").orderBy(site_order)))
     coded = few.join(gene_numbers(with_sites, gene_order), "gene").join(barcodes.withColumnRenamed("idx", "gene_no"), "gene_no")
     tag = "PR" if panel == "PRISM" else "Seq"
@@ -103,12 +103,11 @@ def multi_site_panel(sites: DataFrame, genes: DataFrame, barcodes: DataFrame, pa
             .withColumn("probe", F.concat(back, F.col("barcode"), front)), rejects)
 
 
-def suggest_neighbours(panel: DataFrame, group: str, order: str) -> DataFrame:
+def circular_neighbours(panel: DataFrame, group: str, order: str) -> DataFrame:
     """Worst overlap of each probe with the next one of its group, the last with the first.
 
     ``order`` is 0-based inside the group, so the neighbour is found by an equi-join on (group, next).
     """
-    from ..functions.sequence import suffix_prefix_overlap
     size = panel.groupBy(group).agg(F.count("*").alias("_size"))
     left = panel.join(size, group).withColumn("_next", (F.col(order) + 1) % F.col("_size"))
     right = panel.select(group, F.col(order).alias("_next"), F.col("binding").alias("next_binding"))

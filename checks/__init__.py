@@ -2,7 +2,7 @@
 
 import importlib
 
-AREAS = ["windows", "sequence", "extraction", "sources", "isoforms", "hits", "panels"]
+AREAS = ["windows", "sequence", "extraction", "sources", "isoforms", "hits", "panels", "variants"]
 
 
 def load():

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from strandforge.functions.sequence import revcomp
 from strandforge.operators import filters, ranking, stats
 from strandforge.operators.filters import DEMO
+from strandforge.plans.design import brute_force_sites
 from strandforge.operators.spacing import selected_positions, spaced_selection
 from strandforge.operators.windows import (windows_bruteforce, windows_junction, windows_random,
                                            windows_on_strand, windows_tiled)
@@ -28,7 +29,9 @@ def passed(spark, sf_dir) -> DataFrame:
 
 
 def sites(spark, sf_dir) -> DataFrame:
-    return spaced_selection(passed(spark, sf_dir), "doc_id", "pos", DEMO.max_sites).withColumn("probe", revcomp("target"))
+    found = brute_force_sites(transcripts(spark, sf_dir).select("doc_id", "seq"), DEMO, "doc_id")
+    return found.select("doc_id", F.concat(F.lit("G"), F.col("doc_id").cast("string")).alias("gene"), F.col("position").alias("pos"),
+                        "target", F.col("sequence").alias("probe"), "g_content", "tm", "tm_5", "tm_3")
 
 
 @query("windows_bruteforce", using("windows", """SELECT id AS doc_id, count(*) AS windows, min(pos) AS first_pos, max(pos) AS last_pos,
@@ -66,7 +69,18 @@ def _(spark, sf_dir):
 
 @query("spaced_selection", using("sites", "SELECT doc_id, pos, probe FROM sites"))
 def _(spark, sf_dir):
-    return sites(spark, sf_dir).select("doc_id", "pos", "probe")
+    chosen = spaced_selection(passed(spark, sf_dir), "doc_id", "pos", DEMO.max_sites)
+    return chosen.select("doc_id", "pos", revcomp("target").alias("probe"))
+
+
+@query("brute_force_sites", using("sites transcripts", """SELECT s.gene, pos AS position, probe AS sequence, round(tm, 6) AS tm,
+  CASE WHEN doc_id % 2 = 0 THEN 1000 + pos ELSE 1000 + length(seq) - pos - 40 END AS genomic_start,
+  CASE WHEN doc_id % 2 = 0 THEN 1000 + pos ELSE 1000 + length(seq) - pos - 40 END + 40 AS genomic_end FROM sites s JOIN transcripts USING (doc_id)"""))
+def _(spark, sf_dir):
+    placed = transcripts(spark, sf_dir).selectExpr("gene", "seq", "CAST(1000 AS BIGINT) AS start", "1000 + CAST(length(seq) AS BIGINT) AS end",
+                                                   "CASE WHEN doc_id % 2 = 0 THEN 1 ELSE -1 END AS strand")
+    found = brute_force_sites(placed, DEMO)
+    return found.select("gene", "position", "sequence", r6("tm"), "genomic_start", "genomic_end")
 
 
 @query("site_stats", using("sites transcripts", """SELECT t.gene, count(s.pos) AS total_sites,

@@ -56,15 +56,20 @@ def spaced_array(p: Column, n: int, min_gap: int = 1, keep_all: bool = False) ->
     return F.when(F.size(p) <= n, p).otherwise(found)
 
 
-def selected_positions(sites: DataFrame, gene: str, pos: str, n: int, min_gap: int = 1,
-                       keep_all: bool = False) -> DataFrame:
-    """(gene, pos) of the chosen positions.
+def selected_arrays(sites: DataFrame, gene: str, pos: str, n: int, min_gap: int = 1, keep_all: bool = False) -> DataFrame:
+    """(gene, picks): the chosen positions of each gene, ascending.
 
     Positions are gathered as a set that is combined on the map side, so a gene never brings together more
     numbers than its locus has bases, however many rows (copies, isoforms) carry them.
     """
     return (sites.groupBy(gene).agg(F.sort_array(F.collect_set(F.col(pos).cast("bigint"))).alias("_p"))
-            .select(gene, F.explode(spaced_array(F.col("_p"), n, min_gap, keep_all)).alias(pos)))
+            .select(gene, spaced_array(F.col("_p"), n, min_gap, keep_all).alias("picks")))
+
+
+def selected_positions(sites: DataFrame, gene: str, pos: str, n: int, min_gap: int = 1,
+                       keep_all: bool = False) -> DataFrame:
+    """(gene, pos) of the chosen positions."""
+    return selected_arrays(sites, gene, pos, n, min_gap, keep_all).select(gene, F.explode("picks").alias(pos))
 
 
 def spaced_selection(sites: DataFrame, gene: str, pos: str, n: int, min_gap: int = 1,

@@ -179,6 +179,15 @@ def windows_bruteforce(seqs: DataFrame, keys: list[str], length: int = 40, share
     return windows_between(seqs, keys, edge, F.col("seq_len") - edge - length, length, probe_strand, seq, table)
 
 
+def windows_at(seqs: DataFrame, keys: list[str], positions: str, length: int = 40, seq: str = "seq",
+               table: NearestNeighbour = TABLES["DNA_RNA"]) -> DataFrame:
+    """The windows that start at the array ``positions`` of each sequence, with their metrics."""
+    at = seqs.select(*keys, seq, F.explode(positions).alias("pos"))
+    pieces = (at.withColumn("piece", F.col(seq).substr((F.col("pos") + 1).cast("int"), F.lit(length)))
+              .withColumn("win_from", F.lit(0)).withColumn("win_to", F.lit(1)))
+    return with_metrics(rolling_windows(pieces, [*keys, "pos"], length, True, table).drop("rel"), length, True, table)
+
+
 def windows_on_strand(seqs: DataFrame, keys: list[str], strand: str = "strand", length: int = 40,
                       share: float = 0.1, seq: str = "seq") -> DataFrame:
     """Target-strand windows: on strand -1 the target is the reverse complement of the window.

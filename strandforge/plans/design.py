@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.sequence import revcomp
 from ..operators.filters import Thresholds, passing
-from ..operators.spacing import spaced_selection
-from ..operators.windows import windows_bruteforce
+from ..operators.spacing import selected_arrays
+from ..operators.windows import windows_at, windows_bruteforce
 
 
 def brute_force_sites(seqs: DataFrame, t: Thresholds, key: str = "gene", share: float = 0.1) -> DataFrame:
@@ -17,8 +17,10 @@ def brute_force_sites(seqs: DataFrame, t: Thresholds, key: str = "gene", share:
     coding sequence laid on the whole transcript (introns are not counted).
     """
     place = [c for c in ("start", "end", "strand") if c in seqs.columns]
-    w = passing(windows_bruteforce(seqs, [key, *place], t.length, share), t)
-    sites = spaced_selection(w, key, "pos", t.max_sites)
+    chosen = selected_arrays(passing(windows_bruteforce(seqs, [key], t.length, share), t), key, "pos", t.max_sites)
+    # The chosen starts go back to the sequences, not to the passing windows: those would move about fourteen
+    # bytes per base through a shuffle, the sequences move one.
+    sites = windows_at(seqs.join(chosen, key), [key, *place], "picks", t.length)
     if len(place) == 3:
         g_start = (F.when(F.col("strand") == 1, F.col("start") + F.col("pos"))
                    .when(F.col("strand") == -1, F.col("end") - F.col("pos") - t.length))
@@ -27,4 +29,4 @@ def brute_force_sites(seqs: DataFrame, t: Thresholds, key: str = "gene", share:
     return (sites.withColumn("sequence", revcomp("target")).withColumn("genomic_start", g_start)
             .withColumn("genomic_end", F.col("genomic_start") + t.length).withColumn("position", F.col("pos"))
             .withColumn("length", F.lit(t.length)).withColumn("strategy", F.lit("brute_force"))
-            .drop("pos", "seq_len", "n_bad", *[c for c in place if c != "strand"]))
+            .drop("pos", "n_bad", *[c for c in place if c != "strand"]))

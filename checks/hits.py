@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandforge.operators import hits as ht, merge, offtarget as ot, ranking, stats
+from strandforge.operators.filters import DEMO
+from strandforge.plans.design import screened_sites
 
 from .inputs import hits, listed, sites_for_hits, sql_revcomp, table, transcripts
 from .registry import cte, query, using
@@ -130,8 +132,9 @@ def _(spark, sf_dir):
 @query("specific_by_search", using("found sites", """SELECT s.gene, s.pos, s.probe, CAST(a.n AS BIGINT) AS all_hits FROM sites s JOIN (SELECT target, count(*) AS n FROM found GROUP BY 1) a USING (target)
   JOIN (SELECT target, gene, count(*) AS n, bool_or(frame = -1) AS compl FROM found GROUP BY 1, 2) o ON o.target = s.target AND o.gene = s.gene WHERE compl AND o.n = a.n"""))
 def _(spark, sf_dir):
-    s = sites(spark, sf_dir).select("gene", "pos", "target", "probe")
-    return ot.specific_by_search(s, transcripts(spark, sf_dir).select("gene", "seq")).select("gene", "pos", "probe", "all_hits")
+    ref = transcripts(spark, sf_dir).select("gene", "seq")
+    found = screened_sites(ref, DEMO, ref)
+    return found.select("gene", F.col("position").alias("pos"), F.col("sequence").alias("probe"), "all_hits")
 
 
 cte("run_rows", "SELECT p.*, t.source FROM passed p JOIN transcripts t USING (doc_id)", "passed", "transcripts")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strandforge.functions import thermo
 from strandforge.operators.filters import DEMO
-from strandforge.session import spread
+from strandforge.session import scratch_path, spread
 
 from .registry import cte
 
@@ -24,6 +24,25 @@ def bases_of(c: str):
     return F.translate(F.regexp_replace(c, "[^A-Za-z]", ""), FROM52, TO52)
 
 
+_STAGED: dict[tuple, tuple] = {}
+
+
+def staged(name: str):
+    """Write a derived input to the shared folder on its first use in a session; later uses read that table."""
+    def wrap(build):
+        def get(spark: SparkSession, sf_dir: str) -> DataFrame:
+            key = (spark.sparkContext.applicationId, sf_dir, name)
+            if key not in _STAGED:
+                path, rows = scratch_path(spark, name), build(spark, sf_dir)
+                rows.write.parquet(path)
+                _STAGED[key] = (path, rows.schema)
+            path, schema = _STAGED[key]
+            return spark.read.schema(schema).parquet(path)
+        return get
+    return wrap
+
+
+@staged("transcripts")
 def transcripts(spark, sf_dir) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id")
     return docs.select("doc_id", F.concat(F.lit("G"), F.col("doc_id").cast("string")).alias("gene"),
@@ -46,6 +65,7 @@ cte("tiles", """SELECT doc_id, gene, CAST(t AS BIGINT) AS tile_no, substr(seq, C
   FROM transcripts, LATERAL (SELECT unnest(range(0, length(seq) // 40)) AS t)""", "transcripts", keep=True)
 
 
+@staged("exons")
 def exons(spark, sf_dir) -> DataFrame:
     """Three isoforms per gene; exon slots every 200 bases of the locus."""
     loci = transcripts(spark, sf_dir).select("doc_id", "gene", F.floor(F.length("seq") / 200).cast("int").alias("slots"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.sequence import flip_position, mutate, revcomp
-from ..functions.thermo import tm_nn
+from ..functions.thermo import step_prefix, tm_nn, tm_part
 
 PAD = 50
 ARM_MIN, ARM_MAX, ARM_START = 15, 25, 20
@@ -71,26 +71,24 @@ def arm_grid(points: DataFrame, shortest: int = ARM_MIN, longest: int = ARM_MAX,
              mfe: str | None = None) -> DataFrame:
     """All pairs of arm lengths per ligation point, with Tm of both arms and a score (smaller is better).
 
-    Each arm length is scored once (22 temperatures, not 242) before the two lists are paired. ``mfe`` names a column
+    Each arm length is scored once, from running sums over the target, before the two lists are paired. ``mfe`` names a column
     with the folding energy of the point, 0 where there is none. Arms that would run off the target are left out.
     """
     sizes = F.sequence(F.lit(shortest), F.lit(longest))
-    t = F.col("target")
+    t, pre = F.col("target"), F.col("_pre")
     cut5, start3 = (F.col("pos5") + 1).cast("int"), F.col("pos3").cast("int")
-
-    def arms(text, fits) -> Column:
-        return F.transform(F.filter(sizes, fits), lambda k: F.struct(
-            k.alias("n"), text(k).alias("s"), F.round(tm_nn(text(k)), 2).alias("tm")))
-
-    a5 = arms(lambda k: t.substr(cut5 - k + 1, k), lambda k: k <= cut5)
-    a3 = arms(lambda k: t.substr(start3 + 1, k), lambda k: start3 + k <= F.length(t))
-    both = (points.withColumn("_a5", a5).withColumn("_a3", a3).withColumn("_a5", F.explode("_a5")).withColumn("_a3", F.explode("_a3")))
+    a5 = F.transform(F.filter(sizes, lambda k: k <= cut5), lambda k: F.struct(
+        k.alias("n"), revcomp(t.substr(cut5 - k + 1, k)).alias("s"), F.round(tm_part(pre, cut5 - k, cut5), 2).alias("tm")))
+    a3 = F.transform(F.filter(sizes, lambda k: start3 + k <= F.length(t)), lambda k: F.struct(
+        k.alias("n"), revcomp(t.substr(start3 + 1, k)).alias("s"), F.round(tm_part(pre, start3, start3 + k), 2).alias("tm")))
     energy = F.coalesce(F.col(mfe), F.lit(0.0)) if mfe else F.lit(0.0)
+    pairs = F.flatten(F.transform("_a5", lambda x: F.transform(F.col("_a3"), lambda y: F.struct(
+        x["n"].alias("arm5_len"), y["n"].alias("arm3_len"), x["tm"].alias("tm5"), y["tm"].alias("tm3"),
+        x["s"].alias("bds5"), y["s"].alias("bds3")))))
     score = F.round(F.abs(F.col("tm5") - F.col("tm3")) + F.abs(F.col("arm5_len") - start) + F.abs(F.col("arm3_len") - start) - energy, 2)
-    return (both.withColumn("arm5_len", F.col("_a5.n")).withColumn("arm3_len", F.col("_a3.n"))
-            .withColumn("tm5", F.col("_a5.tm")).withColumn("tm3", F.col("_a3.tm"))
-            .withColumn("bds5", revcomp("_a5.s")).withColumn("bds3", revcomp("_a3.s")).withColumn("score", score)
-            .drop("_a5", "_a3"))
+    keep = [c for c in points.columns if c != "target"]
+    return (points.withColumn("_pre", step_prefix("target")).withColumn("_a5", a5).withColumn("_a3", a3)
+            .select(*keep, F.explode(pairs).alias("x")).select(*keep, "x.*").withColumn("score", score))
 
 
 def rank_designs(grid: DataFrame, point: list[str]) -> DataFrame:
@@ -150,14 +148,20 @@ def arm_balance(variants: DataFrame, low: float = 45.0, high: float = 65.0, diff
     """
     head, tail = _sides("flank", "mut")
     v = flanked(variants, seq, gap).withColumn("_h", head).withColumn("_t", tail)
-    minus = F.col("strand") == -1
+    # running sums on the strand that is read: one pass per side serves every length
+    def prefix(c: str) -> Column:
+        return F.when(F.col("strand") == -1, step_prefix(c, minus=True)).otherwise(step_prefix(c))
+
+    v = v.withColumn("_ph", prefix("_h")).withColumn("_pt", prefix("_t"))
+    n_h, n_t = F.length("_h"), F.length("_t")
     sizes = F.sequence(F.lit(shortest), F.lit(longest))
 
-    def arms(cut) -> Column:
-        temps = F.transform(sizes, lambda k: F.struct(k.alias("n"), tm_nn(F.when(minus, revcomp(cut(k))).otherwise(cut(k))).alias("tm")))
+    def arms(pre: str, n: Column, from_end: bool) -> Column:
+        temps = F.transform(F.filter(sizes, lambda k: k <= n), lambda k: F.struct(k.alias("n"), (
+            tm_part(F.col(pre), n - k, n) if from_end else tm_part(F.col(pre), F.lit(0), k)).alias("tm")))
         return F.filter(temps, lambda x: x["tm"].between(low, high))
 
-    v = v.withColumn("_a", arms(lambda k: F.right("_h", k))).withColumn("_b", arms(lambda k: F.left("_t", k)))
+    v = v.withColumn("_a", arms("_ph", n_h, True)).withColumn("_b", arms("_pt", n_t, False))
     pairs = F.flatten(F.transform("_a", lambda x: F.transform(F.col("_b"), lambda y: F.struct(
         F.abs(x["tm"] - y["tm"]).alias("d"), (F.abs(x["n"] - start) + F.abs(y["n"] - start)).alias("off"),
         x["n"].alias("left"), y["n"].alias("right"), x["tm"].alias("tm_left"), y["tm"].alias("tm_right")))))

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.sequence import revcomp
 from ..operators.filters import Thresholds, passing
+from ..operators.offtarget import specific_by_search
 from ..operators.spacing import selected_arrays
 from ..operators.windows import windows_at, windows_bruteforce
+from ..session import cut_lineage
 
 
 def brute_force_sites(seqs: DataFrame, t: Thresholds, key: str = "gene", share: float = 0.1) -> DataFrame:
@@ -30,3 +32,13 @@ def brute_force_sites(seqs: DataFrame, t: Thresholds, key: str = "gene", share:
             .withColumn("genomic_end", F.col("genomic_start") + t.length).withColumn("position", F.col("pos"))
             .withColumn("length", F.lit(t.length)).withColumn("strategy", F.lit("brute_force"))
             .drop("pos", "n_bad", *[c for c in place if c != "strand"]))
+
+
+def screened_sites(seqs: DataFrame, t: Thresholds, reference: DataFrame, mismatches: int = 1) -> DataFrame:
+    """Brute-force sites that bind nowhere in ``reference`` (gene, seq) but in their own gene.
+
+    The sites, a small fixed number per gene, are written once: the search asks for their targets, the
+    result for the rest of their columns.
+    """
+    sites = cut_lineage(brute_force_sites(seqs, t))
+    return specific_by_search(sites, reference, mismatches)

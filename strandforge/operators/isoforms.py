@@ -14,7 +14,7 @@ from .ranking import first_per
 from .spacing import spaced_selection
 from .windows import rolling_windows, windows_between, windows_bruteforce, with_metrics
 
-BIN = 4096
+BIN = 512          # about an exon: few fragments share a bin, long exons take several
 
 
 def _bins(lo: Column, hi: Column, width: int = BIN) -> Column:

@@ -182,8 +182,9 @@ def windows_bruteforce(seqs: DataFrame, keys: list[str], length: int = 40, share
 def windows_at(seqs: DataFrame, keys: list[str], positions: str, length: int = 40, seq: str = "seq",
                table: NearestNeighbour = TABLES["DNA_RNA"]) -> DataFrame:
     """The windows that start at the array ``positions`` of each sequence, with their metrics."""
-    at = seqs.select(*keys, seq, F.explode(positions).alias("pos"))
-    pieces = (at.withColumn("piece", F.col(seq).substr((F.col("pos") + 1).cast("int"), F.lit(length)))
+    # cut inside the row, so that only the short pieces are multiplied, not the sequence
+    cut = F.transform(positions, lambda p: F.struct(p.alias("pos"), F.col(seq).substr((p + 1).cast("int"), F.lit(length)).alias("piece")))
+    pieces = (seqs.select(*keys, F.explode(cut).alias("x")).select(*keys, "x.pos", "x.piece")
               .withColumn("win_from", F.lit(0)).withColumn("win_to", F.lit(1)))
     return with_metrics(rolling_windows(pieces, [*keys, "pos"], length, True, table).drop("rel"), length, True, table)
 

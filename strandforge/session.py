@@ -38,3 +38,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if len(df.inputFiles()) >= cores:
         return df
     return df.repartition(4 * cores, *keys)
+
+
+def tune(spark: SparkSession) -> None:
+    """Let adaptive execution hash the smaller side of a shuffled join when each of its partitions is small.
+
+    The check is on real sizes at run time; larger partitions are still sorted and merged, which can spill.
+    """
+    spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

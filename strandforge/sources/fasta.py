@@ -12,7 +12,7 @@ def scan_fasta(spark: SparkSession, path: str) -> DataFrame:
     """One row per record: ``name`` (up to the first blank), ``header`` and ``seq`` with its lines joined."""
     records = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "^>", "").alias("r"))
     end = F.locate("\n", F.col("r"))
-    header = F.trim(F.when(end > 0, F.left("r", end - 1)).otherwise(F.col("r")))
+    header = F.regexp_replace(F.when(end > 0, F.left("r", end - 1)).otherwise(F.col("r")), r"^\s+|\s+$", "")
     body = F.when(end > 0, F.col("r").substr(end + 1, F.length("r"))).otherwise(F.lit(""))
     return (records.select(header.alias("header"), F.regexp_replace(body, r"\s", "").alias("seq"))
             .filter("header <> ''")

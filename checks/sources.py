@@ -95,8 +95,8 @@ def _(spark, sf_dir):
 @query("fasta_batches", using("numbered_sites", "SELECT doc_id, pos, (row_number() OVER (ORDER BY doc_id, pos) - 1) // 100 AS batch FROM numbered_sites"))
 def _(spark, sf_dir):
     s = numbered_sites(spark, sf_dir).select("doc_id", "pos")
-    block = F.struct("doc_id", F.floor(F.col("pos") / 65536).alias("b"))
-    return fasta.with_batch(s, 100, block, ["doc_id", "pos"])
+    # a gene has at most the capped number of sites, so a block of 1024 genes stays small
+    return fasta.with_batch(s, 100, F.floor(F.col("doc_id") / 1024), ["doc_id", "pos"])
 
 
 @query("write_table", using("sites", "SELECT gene, probe, pos, round(g_content, 6) AS g_content, round(tm, 6) AS tm FROM sites"))

@@ -67,6 +67,11 @@ def _(spark, sf_dir):
                                         r6("tm_3"), r6("tm_5"), r6("tm_diff"))
 
 
+@query("filter_counts", using("windows", f"SELECT id AS doc_id, count(*) AS before, count(*) FILTER ({sql_pass()}) AS after FROM windows GROUP BY 1"))
+def _(spark, sf_dir):
+    return filters.filter_counts(filters.with_failed_checks(all_windows(spark, sf_dir), DEMO), "doc_id")
+
+
 @query("spaced_selection", using("sites", "SELECT doc_id, pos, probe FROM sites"))
 def _(spark, sf_dir):
     chosen = spaced_selection(passed(spark, sf_dir), "doc_id", "pos", DEMO.max_sites)

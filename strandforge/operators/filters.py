@@ -43,6 +43,11 @@ def passing(windows: DataFrame, t: Thresholds) -> DataFrame:
             .filter(~_g_run(t)))
 
 
+def filter_counts(checked: DataFrame, gene: str = "gene") -> DataFrame:
+    """Sites before and after the limits per gene, from rows with ``passed``."""
+    return checked.groupBy(gene).agg(F.count("*").alias("before"), F.count_if("passed").alias("after"))
+
+
 def with_failed_checks(windows: DataFrame, t: Thresholds, free_energy: str | None = None) -> DataFrame:
     """Every check evaluated: names of the failed ones in ``failed_checks``, and ``passed``."""
     def outside(c: str) -> Column:

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.sequence import revcomp
 from .filters import Thresholds, passing
 from .ranking import first_per
-from .spacing import spaced_selection
-from .windows import rolling_windows, windows_between, windows_bruteforce, with_metrics
+from .spacing import selected_arrays
+from .windows import rolling_windows, windows_at, windows_between, windows_bruteforce, with_metrics
 
 BIN = 512          # about an exon: few fragments share a bin, long exons take several
 
@@ -153,20 +153,38 @@ def overlapping_splices(segments: DataFrame) -> DataFrame:
         "gene", "seg_start", "seg_end", "x.start", "x.end")
 
 
-def _locus_windows(loci: DataFrame, isoforms: DataFrame, t: Thresholds) -> DataFrame:
-    """Windows of each gene locus within the limits, per strand in use; ``pos`` is genomic (1-based locus).
+def _spans(loci: DataFrame, isoforms: DataFrame) -> DataFrame:
+    """(gene, strand, g_start, g_end, seq): the locus from the first to the last isoform base, per strand in use.
 
     Metrics depend on the window and the strand only, so they are computed once, not once per isoform.
     """
     span = isoforms.groupBy("gene", "strand").agg(F.min("start").alias("g_start"), F.max("end").alias("g_end"))
-    part = (loci.join(span, "gene")
-            .withColumn("seq", F.col("seq").substr(F.col("g_start").cast("int"), (F.col("g_end") - F.col("g_start") + 1).cast("int")))
-            .withColumn("seq", F.when(F.col("strand") == -1, revcomp("seq")).otherwise(F.col("seq"))))
-    # starts run from g_start to g_end - length; on strand -1 the turned sequence begins at g_end
+    text = F.col("seq").substr(F.col("g_start").cast("int"), (F.col("g_end") - F.col("g_start") + 1).cast("int"))
+    return (loci.select("gene", "seq").join(span, "gene")
+            .withColumn("seq", F.when(F.col("strand") == -1, revcomp(text)).otherwise(text)))
+
+
+def _flip(start: Column, length: int) -> Column:
+    """Genomic start <-> start on the span: the same formula both ways. On strand -1 the span begins at g_end."""
+    return F.when(F.col("strand") == -1, F.col("g_end") - length + 1 - start).otherwise(start)
+
+
+def _passing_starts(spans: DataFrame, t: Thresholds) -> DataFrame:
+    """(gene, strand, pos, bin) of the windows of each span within the limits; ``pos`` is genomic (1-based locus)."""
+    # starts run from g_start to g_end - length, one place further on the turned span
     back = (F.col("strand") == -1).cast("int")
-    w = windows_between(part, ["gene", "strand", "g_start", "g_end"], F.lit(0) + back, F.col("seq_len") - t.length + back, t.length)
-    start = F.when(F.col("strand") == -1, F.col("g_end") - t.length + 1 - F.col("pos")).otherwise(F.col("g_start") + F.col("pos"))
-    return (passing(w, t).withColumn("pos", start).drop("g_start", "g_end", "seq_len", "n_bad")
+    w = windows_between(spans, ["gene", "strand", "g_start", "g_end"], F.lit(0) + back, F.col("seq_len") - t.length + back, t.length)
+    pos = F.when(F.col("strand") == -1, _flip(F.col("pos"), t.length)).otherwise(F.col("g_start") + F.col("pos"))
+    return passing(w, t).select("gene", "strand", pos.alias("pos")).withColumn("bin", F.floor(F.col("pos") / BIN))
+
+
+def _windows_of(spans: DataFrame, picks: DataFrame, t: Thresholds) -> DataFrame:
+    """The windows at the chosen genomic starts of each gene, within the limits on the strand they are read."""
+    local = F.transform("picks", lambda p: F.when(F.col("strand") == -1, _flip(p, t.length)).otherwise(p - F.col("g_start")))
+    inside = F.filter(local, lambda p: (p >= 0) & (p + t.length <= F.length("seq")))
+    w = windows_at(spans.join(picks, "gene").withColumn("at", inside), ["gene", "strand", "g_start", "g_end"], "at", t.length)
+    pos = F.when(F.col("strand") == -1, _flip(F.col("pos"), t.length)).otherwise(F.col("g_start") + F.col("pos"))
+    return (passing(w, t).withColumn("pos", pos).drop("g_start", "g_end", "n_bad")
             .withColumn("bin", F.floor(F.col("pos") / BIN)))
 
 
@@ -183,32 +201,34 @@ def _in_segments(windows: DataFrame, segments: DataFrame) -> DataFrame:
     return windows.join(segments, ["gene", "bin"]).filter("seg_start <= pos AND pos < seg_end")
 
 
-def _limited(sites: DataFrame, n: int) -> DataFrame:
-    return spaced_selection(sites, "gene", "genomic_start", n)
-
-
 def specific_sites(loci: DataFrame, isoforms: DataFrame, splices: DataFrame, t: Thresholds) -> DataFrame:
-    """Windows whose touched splices are shared by exactly one isoform, inside that isoform; spaced over the cap."""
+    """Windows whose touched splices are shared by exactly one isoform, inside that isoform; spaced over the cap.
+
+    Only starts travel until the spacing is settled; the chosen few are then read again with all their columns.
+    """
     seg = window_segments(splices, isoforms, t.length).filter(F.size("iso_inter") == 1)
     seg = (seg.withColumn("owner", F.explode(F.filter("owners", lambda o: o["tx_id"] == F.element_at("iso_inter", 1))))
            .withColumn("target_isoforms", F.col("iso_inter")))
-    found = _in_segments(_locus_windows(loci, isoforms, t), seg).filter(F.col("owner.strand") == F.col("strand"))
-    return _limited(_sites(found, t.length, "isoform_specific"), t.max_sites)
+    spans = _spans(loci, isoforms)
+    lean = seg.select("gene", "bin", "seg_start", "seg_end", F.col("owner.strand").alias("strand"))
+    starts = _passing_starts(spans, t).join(lean, ["gene", "bin", "strand"]).filter("seg_start <= pos AND pos < seg_end")
+    picks = selected_arrays(starts, "gene", "pos", t.max_sites)
+    found = _in_segments(_windows_of(spans, picks, t), seg).filter(F.col("owner.strand") == F.col("strand"))
+    return _sites(found, t.length, "isoform_specific")
 
 
 def consensus_sites(loci: DataFrame, isoforms: DataFrame, splices: DataFrame, t: Thresholds) -> DataFrame:
-    """Windows that touch at least one isoform, each place once (first isoform wins); spaced over the cap.
-
-    The first isoform is that of the run, so no further pass over the windows is needed to drop repeats.
-    """
+    """Windows that touch at least one isoform, each place once (first isoform wins); spaced over the cap."""
     seg = window_segments(splices, isoforms, t.length).withColumn("target_isoforms", F.col("iso_union"))
-    found = _in_segments(_locus_windows(loci, isoforms, t), seg)
+    spans = _spans(loci, isoforms)
+    lean = seg.select("gene", "bin", "seg_start", "seg_end",
+                      F.explode(F.array_distinct(F.transform("owners", lambda o: o["strand"]))).alias("strand"))
+    starts = _passing_starts(spans, t).join(lean, ["gene", "bin", "strand"]).filter("seg_start <= pos AND pos < seg_end")
+    picks = selected_arrays(starts, "gene", "pos", t.max_sites)
     # one strand per gene is the rule; where isoforms differ, the first owner on the strand at hand counts
     mine = F.filter("owners", lambda o: o["strand"] == F.col("strand"))
-    found = found.withColumn("owner", F.get(mine, F.lit(0))).filter("owner IS NOT NULL")
-    found = found.withColumn("_ord", F.col("owner.tx_order"))
-    sites = _sites(found, t.length, "isoform_consensus")
-    return _limited(first_strand(sites), t.max_sites)
+    found = _in_segments(_windows_of(spans, picks, t), seg).withColumn("owner", F.get(mine, F.lit(0))).filter("owner IS NOT NULL")
+    return first_strand(_sites(found.withColumn("_ord", F.col("owner.tx_order")), t.length, "isoform_consensus"))
 
 
 def first_strand(sites: DataFrame) -> DataFrame:

@@ -19,22 +19,18 @@ def site_stats(sites: DataFrame, genes: DataFrame, gene: str = "gene") -> DataFr
 
 
 def run_stats(sites: DataFrame, genes: DataFrame, gene: str = "gene") -> DataFrame:
-    """One row for a whole run."""
-    listed = genes.select(gene).distinct().agg(F.count("*").alias("total_genes"))
+    """One row for a whole run, over the listed genes."""
     per_gene = sites.groupBy(gene).agg(
         F.count("*").alias("n"), F.sum("g_content").alias("g_sum"), F.sum("tm").alias("tm_sum"),
         F.min("g_content").alias("g_min"), F.max("g_content").alias("g_max"),
         F.min("tm").alias("tm_min"), F.max("tm").alias("tm_max"))
-    whole = per_gene.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_binding_sites"), F.count("*").alias("genes_with_sites"),
-        (F.sum("g_sum") / F.sum("n")).alias("avg_g_content"), (F.sum("tm_sum") / F.sum("n")).alias("avg_tm"),
+    total = F.coalesce(F.sum("n"), F.lit(0).cast("bigint"))
+    return (genes.select(gene).distinct().join(per_gene, gene, "left").agg(
+        F.count("*").alias("total_genes"), total.alias("total_binding_sites"), F.count("n").alias("genes_with_sites"),
+        F.try_divide(total.cast("double"), F.count("*")).alias("avg_sites_per_gene"),
+        F.try_divide(F.sum("g_sum"), F.sum("n")).alias("avg_g_content"), F.try_divide(F.sum("tm_sum"), F.sum("n")).alias("avg_tm"),
         F.min("g_min").alias("min_g_content"), F.max("g_max").alias("max_g_content"),
-        F.min("tm_min").alias("min_tm"), F.max("tm_max").alias("max_tm"))
-    # two one-row tables meet on a constant key
-    return (listed.withColumn("_one", F.lit(1)).join(whole.withColumn("_one", F.lit(1)), "_one").drop("_one")
-            .withColumn("avg_sites_per_gene", F.when(F.col("total_genes") > 0, F.col("total_binding_sites") / F.col("total_genes"))
-                        .otherwise(F.lit(0.0)))
-            .fillna(0.0, ["avg_g_content", "avg_tm", "min_g_content", "max_g_content", "min_tm", "max_tm"]))
+        F.min("tm_min").alias("min_tm"), F.max("tm_max").alias("max_tm")).fillna(0.0))
 
 
 def panel_stats(probes: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strandforge.functions import thermo
 from strandforge.operators.filters import DEMO
-from strandforge.session import scratch_path, spread
+from strandforge.session import scratch_path
 
 from .registry import cte
 
@@ -44,7 +44,8 @@ def staged(name: str):
 
 @staged("transcripts")
 def transcripts(spark, sf_dir) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id")
+    # one shuffle by document whatever the size: the given table may be a single file that cannot be split
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text").repartition("doc_id")
     return docs.select("doc_id", F.concat(F.lit("G"), F.col("doc_id").cast("string")).alias("gene"),
                        "source", bases_of("text").alias("seq"))
 

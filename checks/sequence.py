@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandforge.functions import genes, probes, sequence as sq, thermo
-from strandforge.session import spread
 
 from .inputs import bases_of, listed, sql_revcomp, sql_tm_of, table, tiles, transcripts
 from .registry import cte, query, using
@@ -119,7 +118,7 @@ def _(spark, sf_dir):
 
 
 def quality_probes(spark, sf_dir):
-    raw = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select("doc_id", F.regexp_replace("text", "[^A-Za-z]", "").alias("letters"))
+    raw = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id").select("doc_id", F.regexp_replace("text", "[^A-Za-z]", "").alias("letters"))
     raw = raw.select("doc_id", F.posexplode(F.regexp_extract_all("letters", F.lit("[A-Za-z]{60}"), F.lit(0))).alias("no", "probe"))
     out = raw.select("doc_id", F.lit(60).cast("bigint").alias("width"), F.col("no").cast("bigint").alias("no"), "probe")
     for w in (40, 220):

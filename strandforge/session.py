@@ -1,49 +1,79 @@
-"""Session helpers: parallel spread of small inputs, shared scratch space, lineage cuts."""
+"""Session helpers: shipped code, shared scratch space, lineage cuts."""
 
 from __future__ import annotations
 
+import atexit
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; one of our own only where that is unset (local runs)."""
+    """Folder named by ``spark.checkpoint.dir``; one of our own only where that is unset and all tasks run in this process."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="strandforge-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path for one written table in the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path for one written table in the shared folder; it is deleted when the driver ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(clear_scratch)
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def clear_scratch() -> None:
+    """Delete the scratch tables of this driver; those of sessions that have ended stay for the folder's owner."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        try:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # the session is gone: nothing can be reached any more
+            return
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write ``df`` to the shared folder and read it back, so that later loss replays only the read."""
-    path = scratch_path(df.sparkSession, "cut")
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread a scan over the cores, but only when it has fewer files than cores.
-
-    A large input already arrives in enough splits and is left alone: no shuffle of raw text.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(4 * cores, *keys)
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that kernels import wherever they run."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="strandforge-code-"), "strandforge.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("strandforge", os.path.relpath(path, top)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
 
 
 def tune(spark: SparkSession) -> None:
-    """Let adaptive execution hash the smaller side of a shuffled join when each of its partitions is small.
+    """Ship the code, and let adaptive execution hash the smaller side of a shuffled join when each of its partitions is small.
 
     The check is on real sizes at run time; larger partitions are still sorted and merged, which can spill.
     """
+    ship(spark)
     spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate
+from . import decontaminate, line_dedup
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -50,3 +50,19 @@ def op4_decontamination(spark, sf_dir):
         F.size(c["items"]).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(F.array_sort(c["items"].cast("array<string>")), ","), 256).alias("items_sha256"),
         decontaminate.is_contaminated().alias("contaminated"))
+
+
+_BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_OP2 = f"""WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+  unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM documents),
+k AS MATERIALIZED (SELECT doc_id, i, line, {_LOWER.format(f"trim(line, {_BLANK})")} AS key FROM l),
+r AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING min(doc_id) <> max(doc_id)),
+m AS (SELECT k.*, r.first IS NOT NULL AND r.first <> doc_id AS gone FROM k LEFT JOIN r USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id"""
+
+
+@query(_OP2)
+def op2_line_dedup(spark, sf_dir):
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

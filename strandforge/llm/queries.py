@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, line_dedup
+from . import decontaminate, line_dedup, packing, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -19,6 +19,12 @@ def query(sql: str | None = None):
     return add
 
 
+def ranks_path() -> str:
+    """Ranks of the vocabulary that byte_bpe_50k.json holds."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -66,3 +72,20 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 def op2_line_dedup(spark, sf_dir):
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query()
+def op5_packing(spark, sf_dir):
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), ranks_path())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("""WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+m AS (SELECT h, max(page_id) AS last FROM p GROUP BY h)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+  (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((('0x' || substr(sha1(h), i, 5))::BIGINT >> s) & 31 AS INTEGER) + 1, 1), ''
+    ORDER BY i, s DESC) FROM range(1, 41, 5) a(i), range(0, 20, 5) b(s)) AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to FROM p JOIN m USING (h)""")
+def op9_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("payload")

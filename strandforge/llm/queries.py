@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, line_dedup, packing, warc
+from . import decontaminate, jaccard, line_dedup, packing, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -89,3 +89,9 @@ SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
   CASE WHEN page_id <> last THEN last END AS refers_to FROM p JOIN m USING (h)""")
 def op9_warc(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("payload")
+
+
+@query()
+def op8_jaccard(spark, sf_dir):
+    told = jaccard.similar_documents(table(spark, sf_dir, "documents"))
+    return told.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, jaccard, line_dedup, packing, warc
+from . import decontaminate, jaccard, line_dedup, packing, toxicity, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -95,3 +95,11 @@ def op9_warc(spark, sf_dir):
 def op8_jaccard(spark, sf_dir):
     told = jaccard.similar_documents(table(spark, sf_dir, "documents"))
     return told.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+@query()
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    told = toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return told.select("doc_id", toxicity.held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score",
+                       (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))

@@ -210,7 +210,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Model:
         else:
             picked = [one[rng.integers(len(one))] for one in windows]
         adam.rate = RATE * (1 - epoch / epochs)
-        order = np.argsort([len(w) * 1e3 + rng.random() for w in picked]) if epoch < 0 else rng.permutation(len(picked))
+        order = rng.permutation(len(picked))
         for at in range(0, len(order), BATCH):
             part = order[at:at + BATCH]
             for length in {len(picked[i]) for i in part}:

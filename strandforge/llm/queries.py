@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, jaccard, line_dedup, packing, toxicity, warc
+from . import decontaminate, jaccard, langid, line_dedup, packing, toxicity, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -103,3 +103,11 @@ def op10_toxicity(spark, sf_dir):
     told = toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
     return told.select("doc_id", toxicity.held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score",
                        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query()
+def op6_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.held_out(F.col("doc_id"), 4, 2)
+    told = langid.predict_language(docs, langid.train(docs.filter(~out)))
+    return told.select("doc_id", out.alias("held_out"), "lang_pred", "score")

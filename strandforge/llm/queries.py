@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, jaccard, langid, line_dedup, packing, toxicity, warc
+from . import ann, decontaminate, jaccard, langid, line_dedup, packing, toxicity, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -111,3 +111,8 @@ def op6_langid(spark, sf_dir):
     out = toxicity.held_out(F.col("doc_id"), 4, 2)
     told = langid.predict_language(docs, langid.train(docs.filter(~out)))
     return told.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op1_ann(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)

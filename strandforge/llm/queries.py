@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, decontaminate, jaccard, langid, line_dedup, packing, toxicity, warc
+from . import ann, decontaminate, jaccard, langid, line_dedup, packing, pii, toxicity, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -116,3 +116,9 @@ def op6_langid(spark, sf_dir):
 @query()
 def op1_ann(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query()
+def op3_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_spans(docs, pii.train(docs)).select("doc_id", *[f.name for f in pii.ADDED])

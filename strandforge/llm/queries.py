@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, decontaminate, jaccard, langid, line_dedup, packing, pii, toxicity, warc
+from . import ann, decontaminate, jaccard, langid, line_dedup, packing, pii, suffix_dedup, toxicity, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -122,3 +122,9 @@ def op1_ann(spark, sf_dir):
 def op3_pii(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return pii.find_spans(docs, pii.train(docs)).select("doc_id", *[f.name for f in pii.ADDED])
+
+
+@query()
+def op7_suffix_dedup(spark, sf_dir):
+    told = suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return told.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -226,11 +226,9 @@ def repeated_ranges(owners: DataFrame) -> DataFrame:
     whole = (contexts.select("digest", "doc", "tie", "start", F.length("context").alias("n")).filter(F.col("n") >= LENGTH)
              .join(one.select("digest", *[F.col(c).alias(f"first_{c}") for c in ("doc", "tie", "start")]), "digest")
              .filter("doc <> first_doc OR tie <> first_tie OR start <> first_start").select("doc", "tie", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("z")))
-    crowd = one.groupBy("anchor").count().filter("count > 1")
-    some = one.join(crowd, "anchor")
-    # a context that is alone with its anchor can still repeat within itself
-    alone = one.join(crowd.select("anchor"), "anchor", "left_anti").withColumn("count", F.lit(1).cast("bigint"))
-    both = cut_lineage(some.unionByName(alone), "members")
+    # a context that is alone with its anchor matches only itself, and its further copies are in ``whole``
+    crowd = cut_lineage(one.groupBy("anchor").count().filter("count > 1"), "crowd")
+    both = cut_lineage(one.join(crowd, "anchor"), "members")
     shards = max(1, -(-both.count() // SHARD))
     settled = (both.filter(F.col("count") <= HOT).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
                .groupBy("shard").applyInPandas(_shard, "doc bigint, tie bigint, a bigint, z bigint"))

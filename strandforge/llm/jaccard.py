@@ -7,10 +7,10 @@ fixed size that covers all documents), rarest first; two sets that reach the thr
    into the buckets of their prefix shingles, so copies cost one row per task and bucket.
 2. In every bucket two hubs (two pseudo-random orders) are paired with all other groups: as many pairs as rows. Size, place and prefix filters
    apply, then groups expand to their classes and the sets themselves are compared, as integers.
-3. Classes that a compared link joins to the same hub are connected whatever else they share. The remaining pairs of a bucket, those
-   of classes with different labels, are all compared, so no link between components is lost and a large group of near copies never turns
-   into all of its pairs.
-4. Components of all links found.
+3. Classes that links connect, along whole chains, bear one label. Pairs of a bucket with the same label need no comparison. While many others are
+   open, the rows of open buckets meet two further hubs, so a large group of near copies closes round by round and never turns into all of its
+   pairs. When hubs close no more, the pairs with different labels that are left are all compared, so no link between components is lost.
+4. The labels are the components of all links found.
 
 Defined cases: a document of fewer than five words is one shingle; one without words is linked with nothing; rows with a null doc_id are linked with
 nothing and get no component; rows that repeat a doc_id each have their own set and share a node; the component is the smallest doc_id, so ties cannot occur.
@@ -294,6 +294,34 @@ def mark_bits(nodes: DataFrame, bits: int = MARK_BITS) -> np.ndarray:
     return np.unpackbits(words.view(np.uint8), bitorder="little").astype(bool)
 
 
+def _merged(labelled: DataFrame, links: DataFrame) -> DataFrame:
+    """(gid, node, label) after ``links``: labels that a link joins become the smallest of them, along whole chains."""
+    label = labelled.select("node", "label")
+    ends = (links.join(label.withColumnsRenamed({"node": "a", "label": "la"}), "a")
+            .join(label.withColumnsRenamed({"node": "b", "label": "lb"}), "b")
+            .filter("la <> lb").select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct())
+    joined = components(ends).withColumnRenamed("node", "label")
+    return cut_lineage(labelled.join(joined, "label", "left").select("gid", "node", F.coalesce("component", "label").alias("label")), "labelled")
+
+
+def _open_pairs(open_: DataFrame) -> tuple[int, int]:
+    """Rows of the open buckets, and pairs of rows in a bucket that bear different labels."""
+    each = open_.groupBy("token", "label").agg(F.count("*").alias("k"))
+    per = each.groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same"))
+    got = per.agg(F.coalesce(F.sum("k"), F.lit(0)), F.coalesce(F.sum(F.col("k") * F.col("k") - F.col("same")), F.lit(0))).first()
+    return got[0], got[1] // 2
+
+
+def _hub_pairs(open_: DataFrame, seeds: tuple[int, int], num: int, den: int) -> DataFrame:
+    """(a, b): every row of an open bucket with two hubs of that bucket, where the labels differ."""
+    per = Window.partitionBy("token")
+    hubs = F.array(*[F.min(F.struct(F.xxhash64("node", F.lit(s)).alias("turn"), "gid", "n", "pos", "node", "label")).over(per) for s in seeds])
+    met = open_.withColumn("hubs", hubs).withColumn("hub", F.explode("hubs")).filter("label <> hub.label").select(
+        "gid", "n", "pos", "node", F.col("hub.gid").alias("other"), F.col("hub.n").alias("m"), F.col("hub.pos").alias("place"), F.col("hub.node").alias("head"))
+    return (met.filter((F.col("gid") == F.col("other")) | _can_link(num, den))
+            .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct())
+
+
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN,
                       sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """One row per row of ``docs``: doc, n (size of its set), component (smallest doc_id reachable by links, itself included)."""
@@ -329,26 +357,31 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     sets = cut_lineage(marked.mapInArrow(_wanted_sets(marks), "node bigint, shingles binary"), "sets")
     links = _verified(stars.select("a", "b"), sets, num, den)
 
-    # a class's label: the smallest hub that a link joins it to, or that hub's own label
-    first = links.join(stars, ["a", "b"]).select("node", "head")
-    label = first.groupBy("node").agg(F.min("head").alias("label"))
-    label = label.join(label.select(F.col("node").alias("label"), F.col("label").alias("next")), "label", "left").select(
-        "node", F.least("label", F.coalesce("next", "label")).alias("label"))
-    labelled = cut_lineage(node.join(label, "node", "left").select("gid", "node", F.coalesce("label", "node").alias("label")), "labelled")
-
-    # what the stars leave open: pairs of a bucket with different labels
-    rest = buckets.select("token", "gid", "n", "pos").join(labelled, "gid")
-    open_ = rest.withColumns({"low": F.min("label").over(per), "high": F.max("label").over(per)}).filter("low <> high").drop("low", "high")
-    open_ = cut_lineage(open_, "open")
+    # a class's label is the smallest class known to be connected with it; what stays open are pairs of a bucket with different labels
+    labelled = _merged(node.withColumn("label", F.col("node")), links)
+    tried, before, turn = stars.select("a", "b"), None, 2
+    while True:
+        rest = buckets.select("token", "gid", "n", "pos").join(labelled, "gid")
+        open_ = rest.withColumns({"low": F.min("label").over(per), "high": F.max("label").over(per)}).filter("low <> high").drop("low", "high")
+        open_ = cut_lineage(open_, "open")
+        rows_open, pairs_open = _open_pairs(open_)
+        # another pair of hubs costs two pairs a row; it is worth it while all pairs are more and the last hubs closed a tenth of them
+        if pairs_open <= 2 * rows_open or (before is not None and pairs_open > 0.9 * before):
+            break
+        before, turn = pairs_open, turn + 2
+        pairs = cut_lineage(_hub_pairs(open_, (turn, turn + 1), num, den).join(tried, ["a", "b"], "left_anti"), "pairs")
+        labelled = _merged(labelled, _verified(pairs, sets, num, den))
+        tried = tried.unionByName(pairs)
+
     left = open_.select("token", "gid", "n", "pos", F.col("node").alias("a"), F.col("label").alias("la"))
     right = open_.select("token", F.col("gid").alias("other"), F.col("n").alias("m"), F.col("pos").alias("place"), F.col("node").alias("b"), F.col("label").alias("lb"))
     pairs = (left.join(right, "token").filter((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")))
              .filter((F.col("gid") == F.col("other")) | _can_link(num, den)).select("a", "b").distinct()
-             .join(stars.select("a", "b"), ["a", "b"], "left_anti"))
-    links = links.unionByName(_verified(pairs, sets, num, den))
+             .join(tried, ["a", "b"], "left_anti"))
+    labelled = _merged(labelled, _verified(pairs, sets, num, den))
 
-    found = components(links)
-    named = classes.select("d1", "d2", "n", "node").join(found, "node", "left").select("d1", "d2", "n", F.coalesce("component", "node").alias("component"))
+    found = labelled.select("node", F.col("label").alias("component"))
+    named = classes.select("d1", "d2", "n", "node").join(found, "node").select("d1", "d2", "n", "component")
     return signed.join(named, ["d1", "d2", "n"], "left").select(
         "doc", "n", F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc")).alias("component"))
 

@@ -83,6 +83,8 @@ def _(spark, sf_dir):
 
 _SHORT = "CASE WHEN g_content > 0.44 THEN left(probe, 39) ELSE probe END"
 cte("multi_sites", f"SELECT gene, doc_id, pos, {_SHORT} AS binding FROM sites", "sites")
+cte("multi_codes", """SELECT gene FROM (SELECT gene, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM (SELECT DISTINCT gene, doc_id FROM multi_sites)) c
+  JOIN ranked_codes r USING (idx)""", "multi_sites", "ranked_codes")
 cte("multi", """SELECT concat('PRISM_', c.gene_no + 1) AS "PRISM", m.gene, concat_ws('_', 'PR', c.gene_no + 1, m.gene, n) AS probe_name,
     lower(substr(binding, 21)) || barcode || lower(left(binding, 20)) AS probe
   FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY pos) AS n FROM multi_sites WHERE length(binding) = 40) m
@@ -100,9 +102,10 @@ def _(spark, sf_dir):
     return multi(spark, sf_dir)[0].select("PRISM", "gene", "probe_name", "probe")
 
 
-@query("panel_multi_rejects", using("multi_sites", "SELECT gene, pos, binding FROM multi_sites WHERE length(binding) <> 40"))
+@query("panel_multi_rejects", using("multi_codes multi_sites", """SELECT gene, pos, binding, 'length' AS reason FROM multi_sites WHERE length(binding) <> 40
+  UNION ALL SELECT gene, pos, binding, 'no barcode' FROM multi_sites WHERE length(binding) = 40 AND gene NOT IN (SELECT gene FROM multi_codes)"""))
 def _(spark, sf_dir):
-    return multi(spark, sf_dir)[1].select("gene", "pos", "binding")
+    return multi(spark, sf_dir)[1].select("gene", "pos", "binding", "reason")
 
 
 @query("write_probe_fasta", using("prism", "SELECT '>' || gene || '|' || barcode_name || chr(10) || probe AS value FROM prism"))

@@ -94,8 +94,8 @@ def has_long_repeat(seq: Column | str, k: int = 8) -> Column:
                        F.call_function("locate", s.substr(i, F.lit(k)), s, i + k) > 0))
 
 
-def longest_stem(seq: Column | str, shortest: int = 3, longest: int = 18, loop: int = 3) -> Column:
-    """Longest stem a strand can fold into, from inverted repeats with a loop of at least ``loop``.
+def longest_stem(seq: Column | str, shortest: int = 3, longest: int | None = None, loop: int = 3) -> Column:
+    """Longest stem a strand can fold into, from inverted repeats with a loop of at least ``loop``; up to ``longest`` if that is given.
 
     A stem of k pairs contains one of k-1 pairs, so lengths are tried upwards and stop at the first miss.
     """
@@ -106,7 +106,8 @@ def longest_stem(seq: Column | str, shortest: int = 3, longest: int = 18, loop:
         return F.exists(starts, lambda i: F.call_function(
             "locate", revcomp(s.substr(i, k)), s, i + k + loop) > 0)
 
-    sizes = F.sequence(F.lit(shortest), F.lit(longest))
+    most = F.floor((F.length(s) - loop) / 2).cast("int") if longest is None else F.lit(longest)
+    sizes = F.sequence(F.lit(shortest), F.greatest(most, F.lit(shortest)))
     best = F.aggregate(sizes, F.lit(shortest - 1), lambda acc, k: F.when(
         (acc == k - 1) & (F.length(s) >= k * 2 + loop) & folds(k), k).otherwise(acc))
     return F.when(best >= shortest, best).otherwise(F.lit(0))

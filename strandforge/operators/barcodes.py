@@ -6,7 +6,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.sequence import has_run
+from ..functions.sequence import hamming, has_run
 from ..session import cut_lineage
 from .offtarget import packed, packed_mismatches
 
@@ -29,7 +29,8 @@ def hamming_pairs(codes: DataFrame, closer_than: int, length: int = 20) -> DataF
     """(code_a, code_b, distance) of distinct codes closer than ``closer_than``, ``code_a < code_b``.
 
     Cut into ``closer_than + 1`` pieces, two codes that differ in fewer places share at least two of them, so they
-    meet in an equi-join on a pair of pieces; each pair counts only at the first two pieces it shares.
+    meet in an equi-join on a pair of pieces; each pair counts only at the first two pieces it shares. Any letters and any length:
+    what does not fit a packed code is compared letter by letter.
     """
     cuts = [round(i * length / (closer_than + 1)) for i in range(closer_than + 2)]
     spans = list(zip(cuts, cuts[1:]))
@@ -44,14 +45,13 @@ def hamming_pairs(codes: DataFrame, closer_than: int, length: int = 20) -> DataF
 
     def shared(i: int) -> Column:
         lo, hi = spans[i]
-        mask = ((1 << 2 * (hi - lo)) - 1) << 2 * (length - hi)
-        return F.col("bits_a").bitwiseXOR(F.col("bits_b")).bitwiseAND(F.lit(mask).cast("bigint")) == 0
+        return F.substring("code_a", lo + 1, hi - lo) == F.substring("code_b", lo + 1, hi - lo)
 
     # number of the first pair of pieces that both codes share
     first = F.lit(None)
     for n, (i, j) in reversed(list(enumerate(combinations(range(len(spans)), 2)))):
         first = F.when(shared(i) & shared(j), F.lit(n)).otherwise(first)
-    distance = packed_mismatches(F.col("bits_a"), F.col("bits_b"))
+    distance = _distance(F.col("code_a"), F.col("bits_a"), F.col("code_b"), F.col("bits_b"))
     return (a.join(b, ["pair_no", "piece"]).filter("code_a < code_b").withColumn("distance", distance.cast("bigint"))
             .filter((F.col("distance") < closer_than) & (F.col("pair_no") == first)).select("code_a", "code_b", "distance"))
 
@@ -73,20 +73,26 @@ def diverse_codes(codes: DataFrame, apart: int = 10, batch: int = 2000) -> DataF
             break
         fresh: list = []
         for row in head:
-            if all(_apart(row.bits, k.bits) >= apart for k in fresh):
+            if all(_apart(row.code, k.code) >= apart for k in fresh):
                 fresh.append(row)
         kept += [(r.code_no, r.code) for r in fresh]
         if len(head) < batch:
             break
-        new_bits = F.array(*[F.lit(r.bits).cast("bigint") for r in fresh])
+        new = F.array(*[F.struct(F.lit(r.code).alias("code"), F.lit(r.bits).cast("bigint").alias("bits")) for r in fresh])
         left = cut_lineage(left.filter(F.col("code_no") > head[-1].code_no).filter(
-            ~F.exists(new_bits, lambda k: packed_mismatches(k, F.col("bits")) < apart)))
+            ~F.exists(new, lambda k: F.coalesce(_distance(k["code"], k["bits"], F.col("code"), F.col("bits")) < apart, F.lit(False)))))
     return spark.createDataFrame(kept, "code_no BIGINT, code STRING")
 
 
-def _apart(a: int, b: int) -> int:
-    x = a ^ b
-    return ((x | x >> 1) & 0x5555555555).bit_count()
+def _distance(a: Column, a_bits: Column, b: Column, b_bits: Column) -> Column:
+    """Places in which two codes differ, on packed codes where both have one; null for unequal lengths."""
+    fast = F.when(F.length(a) == F.length(b), packed_mismatches(a_bits, b_bits))
+    return F.coalesce(fast, hamming(a, b))
+
+
+def _apart(a: str, b: str) -> float:
+    """The same on the driver; codes of unequal length are never too close."""
+    return sum(x != y for x, y in zip(a, b)) if len(a) == len(b) else float("inf")
 
 
 def seq_lib(codes: DataFrame, colors: dict[str, int] = COLORS, lib: str = "lib", order: str = "code_no") -> DataFrame:

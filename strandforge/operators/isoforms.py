@@ -241,10 +241,14 @@ def order_by_coverage(sites: DataFrame) -> DataFrame:
 
 
 def search_all(loci: DataFrame, isoforms: DataFrame, splices: DataFrame, t: Thresholds, strategy: str) -> DataFrame:
-    """The chosen isoform strategy for genes with isoforms, brute force for the others."""
+    """The chosen isoform strategy for genes with isoforms, brute force for the others; an error for any other name."""
     from ..plans.design import brute_force_sites
-    known = isoforms.select("gene").distinct()
-    run = specific_sites if strategy == "isoform_specific" else consensus_sites
+    runs = {"isoform_specific": specific_sites, "isoform_consensus": consensus_sites}
+    if strategy == "brute_force":
+        return brute_force_sites(loci, t)
+    if strategy not in runs:
+        raise ValueError(f"unknown strategy {strategy!r}: {', '.join([*runs, 'brute_force'])}")
+    known, run = isoforms.select("gene").distinct(), runs[strategy]
     with_iso = run(loci.join(known, "gene", "left_semi"), isoforms, splices, t)
     without = brute_force_sites(loci.join(known, "gene", "left_anti"), t)
     return with_iso.unionByName(without, allowMissingColumns=True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.sequence import suffix_prefix_overlap
+from ..session import cut_lineage
 from .ranking import first_per, ranked
 
 # Primers, barcode columns and placeholder counts of the panels.
@@ -86,15 +87,19 @@ def multi_site_panel(sites: DataFrame, genes: DataFrame, barcodes: DataFrame, pa
                      site_order: str = "pos", gene_order: str = "gene_order") -> tuple[DataFrame, DataFrame]:
     """(probes, rejects): up to ``per_gene`` sites per gene, all with the barcode of the gene.
 
-    Sites whose length is not that of a panel site are rejected. ``barcodes.idx`` is 0-based by gene with sites.
+    Rejects bear a ``reason``: ``length`` for sites that have not that of a panel site, ``no barcode`` for the sites of genes beyond the
+    barcode table. ``barcodes.idx`` is 0-based by gene with sites. The sites are written once, as several steps read them.
     """
-    good = F.length("binding") == SITE_LENGTH
-    rejects = sites.filter(~good)
+    sites = cut_lineage(sites, "sites")
+    good = F.coalesce(F.length("binding") == SITE_LENGTH, F.lit(False))
     with_sites = genes.join(sites.select("gene").distinct(), "gene", "left_semi")
     few = first_per(sites.filter(good), ["gene"], [site_order], per_gene)
     # at most per_gene rows per gene are left, so numbering them is a small window
     few = few.withColumn("n", F.row_number().over(Window.partitionBy("gene").orderBy(site_order)))
-    coded = few.join(gene_numbers(with_sites, gene_order), "gene").join(barcodes.withColumnRenamed("idx", "gene_no"), "gene_no")
+    codes = gene_numbers(with_sites, gene_order).join(barcodes.withColumnRenamed("idx", "gene_no"), "gene_no")
+    coded = few.join(codes, "gene")
+    rejects = (sites.filter(~good).withColumn("reason", F.lit("length"))
+               .unionByName(sites.filter(good).join(codes.select("gene"), "gene", "left_anti").withColumn("reason", F.lit("no barcode"))))
     tag = "PR" if panel == "PRISM" else "Seq"
     front, back = split_site()
     code = (F.col("gene_no") + 1).cast("string")

@@ -21,10 +21,9 @@ def with_type(variants: DataFrame) -> DataFrame:
 
 
 def with_local(variants: DataFrame, seq: str = "seq", pad: int = PAD) -> DataFrame:
-    """Adds ``g_start`` and ``local`` (bases g_start .. v_end + pad) and the local bounds of the variant."""
-    g_start = F.greatest(F.col("v_start") - pad, F.lit(0))
-    first = F.greatest(g_start, F.lit(1))
-    return (variants.withColumn("g_start", g_start)
+    """Adds ``g_start`` and ``local`` (bases g_start .. v_end + pad, from base 1 on) and the local bounds of the variant."""
+    first = F.greatest(F.col("v_start") - pad, F.lit(1))
+    return (variants.withColumn("g_start", first)
             .withColumn("local", F.col(seq).substr(first.cast("int"), (F.col("v_end") + pad - first + 1).cast("int")))
             .withColumn("l_start", F.col("v_start") - first).withColumn("l_end", F.col("v_end") - first))
 

@@ -135,12 +135,15 @@ def with_metrics(windows: DataFrame, length: int, probe_strand: bool = True,
     cut = length - length // 2 if probe_strand else length // 2
     known = F.col("n_bad") == 0
 
-    def tm(h: Column, s: Column, n: int) -> Column:
-        return F.when(known, melting_point(h, s, n, table))
-
-    front = tm(F.col("h_a"), F.col("s_a"), cut)
-    back = tm(F.col("h_b"), F.col("s_b"), length - cut)
-    whole = tm(F.col("h_a") + F.col("h_b") + F.col("h_j"), F.col("s_a") + F.col("s_b") + F.col("s_j"), length)
+    def tm(h: Column, s: Column, n: int, *ends: int) -> Column:
+        # A and T pair with each other, so either strand has the same ends
+        weak = sum((F.substring("target", i + 1, 1).isin("A", "T").cast("int") for i in ends), F.lit(0))
+        return F.when(known, melting_point(h, s, n, table, weak))
+
+    front = tm(F.col("h_a"), F.col("s_a"), cut, 0, cut - 1)
+    back = tm(F.col("h_b"), F.col("s_b"), length - cut, cut, length - 1)
+    outer = (cut, cut - 1) if probe_strand else (0, length - 1)
+    whole = tm(F.col("h_a") + F.col("h_b") + F.col("h_j"), F.col("s_a") + F.col("s_b") + F.col("s_j"), length, *outer)
     # on either reading the front of the target pairs with the 5' arm
     return (windows.withColumn("g_content", F.col("n_base") / F.lit(float(length)))
             .withColumn("tm", whole).withColumn("tm_5", front).withColumn("tm_3", back)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandforge.functions import sequence as sq, thermo
-from strandforge.operators import barcodes, filters, isoforms, offtarget, ranking, windows
+from strandforge.operators import barcodes, filters, isoforms, offtarget, panels, ranking, variants, windows
 from strandforge.operators.spacing import spaced_array
 from strandforge.plans.design import brute_force_sites
 from strandforge.session import scratch_path
@@ -249,3 +249,61 @@ def test_alignment_documents(spark, tmp_path):
 
 def test_scratch_follows_the_named_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+@pytest.mark.parametrize("name", sorted(thermo.TABLES))
+def test_windows_melt_as_their_strings(spark, name):
+    """Window sums give the temperatures of the rotated probe and both arms, end terms included."""
+    table, seq = thermo.TABLES[name], "".join(random.Random(7).choice("ACGT") for _ in range(300))
+    pieces = spark.createDataFrame([("g", seq, 0, 260)], "gene STRING, piece STRING, win_from BIGINT, win_to BIGINT")
+    for strand in (True, False):
+        w = windows.with_metrics(windows.rolling_windows(pieces, ["gene"], 40, strand, table), 40, strand, table)
+        front, back = F.left("target", F.lit(20)), F.right("target", F.lit(20))
+        read = sq.revcomp if strand else (lambda s: s)
+        whole = F.concat(back, front) if strand else F.col("target")
+        rows = w.select("tm", "tm_5", "tm_3", thermo.tm_nn(read(whole), table).alias("x"), thermo.tm_nn(read(front), table).alias("x5"),
+                        thermo.tm_nn(read(back), table).alias("x3")).collect()
+        assert len(rows) == 260
+        for r in rows:
+            assert (r.tm, r.tm_5, r.tm_3) == pytest.approx((r.x, r.x5, r.x3), abs=1e-9)
+
+
+def test_codes_of_any_length_and_letters(spark):
+    draw = random.Random(3)
+    for length, letters in ((25, "ACGT"), (40, "ACGT"), (20, "ACGTN")):
+        codes = ["".join(draw.choice(letters) for _ in range(length)) for _ in range(20)]
+        codes += ["".join(draw.choice(letters) if draw.random() < .2 else c for c in x) for x in codes]
+        df = spark.createDataFrame(list(enumerate(codes)), "code_no BIGINT, code STRING")
+        apart = lambda a, b: sum(x != y for x, y in zip(a, b))
+        want = sorted((a, b, apart(a, b)) for a in set(codes) for b in set(codes) if a < b and apart(a, b) < 6)
+        assert sorted(tuple(r) for r in barcodes.hamming_pairs(df, 6, length).collect()) == want
+        kept = []
+        for n, c in enumerate(codes):
+            if "GGGGG" not in c and c not in codes[:n] and all(apart(c, k) >= 8 for k in kept):
+                kept.append(c)
+        for batch in (7, 2000):
+            assert [r.code for r in barcodes.diverse_codes(df, 8, batch).orderBy("code_no").collect()] == kept
+
+
+def test_nothing_vanishes_without_a_word(spark):
+    stem = "ACGTTGCATCAGGATTCACCGATAGC"
+    fold = stem + "AAAA" + stem[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    assert spark.createDataFrame([(fold,)], "s STRING").select(sq.longest_stem("s").alias("n")).first().n == 26
+    sites = spark.createDataFrame([(f"G{i}", 1, "A" * 40) for i in range(5)] + [("G0", 2, "A" * 39)], "gene STRING, pos BIGINT, binding STRING")
+    listed = spark.createDataFrame([(f"G{i}", i) for i in range(5)], "gene STRING, gene_order BIGINT")
+    two = spark.createDataFrame([(0, "CC"), (1, "GG")], "idx BIGINT, barcode STRING")
+    probes, rejects = panels.multi_site_panel(sites, listed, two)
+    assert probes.count() == 2
+    assert sorted((r.gene, r.reason) for r in rejects.collect()) == [("G0", "length"), *[(f"G{i}", "no barcode") for i in (2, 3, 4)]]
+    asked = spark.createDataFrame([("A" * 40,), ("A" * 30,), ("N" + "A" * 39,), (None,)], "target STRING")
+    assert {r.reason for r in offtarget.unsearchable(asked).collect()} == {"length", "letters", "null"}
+    with pytest.raises(ValueError):
+        isoforms.search_all(None, None, None, None, "exon_skipping")
+
+
+@pytest.mark.parametrize("start", [5, 30, 200])
+def test_variant_places_at_region_starts(spark, start):
+    seq = "".join(random.Random(9).choice("ACGT") for _ in range(400))
+    v = spark.createDataFrame([(seq, start, start)], "seq STRING, v_start BIGINT, v_end BIGINT")
+    r = variants.with_local(v).first()
+    assert seq[r.g_start - 1:r.g_start - 1 + len(r.local)] == r.local and r.local[r.l_start] == seq[start - 1]

@@ -6,7 +6,8 @@ to the sequence of lowest estimated cost (linear * length + quadratic * length *
 A rest that fits nowhere any more is cut: its first ids fill the cheapest sequence with any room, and the remainder goes on. A group's
 sequences have exactly the room its rests need: as many full ones as fill, and the remainder as powers of two, which are not padded.
 
-Tokens: the ids of the named byte-level BPE vocabulary. Its words begin at a blank before a non-blank, so a text without other
+Tokens: the ids of the named byte-level BPE vocabulary. Its added tokens, from the JSON file beside the ranks, are cut out of a text first
+and give their own ids, as ``tokenizers`` does; the parts between them are encoded apart from each other. Its words begin at a blank before a non-blank, so a text without other
 blanks is cut there and words are looked up in a bounded cache of this process; other texts are encoded whole.
 
 Defined cases: a null or empty text is the end id alone; rows that repeat a doc_id, or have none, are documents of their own;
@@ -16,6 +17,8 @@ an empty table gives no piece; further columns are not carried (pieces are a tab
 from __future__ import annotations
 
 import base64
+import json
+import os
 import re
 import zlib
 
@@ -37,6 +40,17 @@ _ODD = re.compile(r" (?=\s|$)")
 _ENCODERS: dict[str, _Words] = {}
 
 
+def added_tokens(vocabulary_path: str) -> tuple[dict[str, bytes], re.Pattern | None]:
+    """Ids (little-endian 16-bit) of the added tokens of a vocabulary's JSON file, and the pattern that finds them, longest first."""
+    with open(vocabulary_path, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    if any(t[flag] for t in tokens for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens are found as they are written, without conditions on what is around them")
+    added = {t["content"]: np.array([t["id"]], "<u2").tobytes() for t in tokens}
+    longest = "|".join(map(re.escape, sorted(added, key=len, reverse=True)))
+    return added, re.compile(f"({longest})") if added else None
+
+
 class _Words(dict):
     """Ids (little-endian 16-bit) of a word with a blank before it, by the word."""
 
@@ -45,6 +59,7 @@ class _Words(dict):
         import tiktoken
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(ranks_path, "rb"))}
         self.encode = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.added, self.cut = added_tokens(os.path.splitext(ranks_path)[0] + ".json")
 
     def __missing__(self, word: str) -> bytes:
         ids = np.array(self.encode(" " + word), "<u2").tobytes()
@@ -55,6 +70,13 @@ class _Words(dict):
         return ids
 
     def text(self, text: str) -> bytes:
+        if self.cut is None or not self.cut.search(text):
+            return self.plain(text)
+        # the pattern is one group, so every second part is an added token
+        parts = self.cut.split(text)
+        return b"".join(self.added[p] if i % 2 else self.plain(p) for i, p in enumerate(parts))
+
+    def plain(self, text: str) -> bytes:
         if _ODD.search(text):
             return np.array(self.encode(text), "<u2").tobytes()
         first, *words = text.split(" ")

@@ -20,7 +20,7 @@ def query(sql: str | None = None):
 
 
 def ranks_path() -> str:
-    """Ranks of the vocabulary that byte_bpe_50k.json holds."""
+    """Ranks of the vocabulary that byte_bpe_50k.json holds; its added tokens are read from that file beside them."""
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 

@@ -229,6 +229,21 @@ def test_packing_hostile(spark):
     assert packing.pack_documents(documents(spark, rows=[]), queries.ranks_path()).count() == 0
 
 
+def test_packing_added_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    bpe = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"hello {end} world", end, end + end, f" {end} ", f"a  {end}\n\n b", f"x{end}y  z {end[:-1]}{end}", f"<|{end}|>", f"it{end}'s  é{end}\t日本 "]
+    rows = list(enumerate(texts))
+    pieces = packing.pack_documents(documents(spark, rows=rows), queries.ranks_path()).collect()
+    held = {}
+    for r in sorted(pieces, key=lambda r: (r.doc_id, r.start)):
+        held.setdefault(r.doc_id, []).extend(struct.unpack(f"<{r.length}I", r.ids))
+    assert held == {i: [*bpe.encode(t, add_special_tokens=False).ids, 0] for i, t in rows}
+    assert held[0] == [31373, 220, 50256, 995, 0]
+
+
 # 6
 
 def test_suffix_automaton_knows_all_factors():

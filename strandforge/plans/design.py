@@ -38,7 +38,10 @@ def screened_sites(seqs: DataFrame, t: Thresholds, reference: DataFrame, mismatc
     """Brute-force sites that bind nowhere in ``reference`` (gene, seq) but in their own gene.
 
     The sites, a small fixed number per gene, are written once: the search asks for their targets, the
-    result for the rest of their columns.
+    result for the rest of their columns. Sites have ``t.length`` known letters, so all of them can be searched and there are no
+    rejects beside them.
     """
+    if t.length <= mismatches:
+        raise ValueError("a site of no more bases than mismatches matches everywhere")
     sites = cut_lineage(brute_force_sites(seqs, t))
-    return specific_by_search(sites, reference, mismatches)
+    return specific_by_search(sites, reference, mismatches)[0]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from strandforge.functions import sequence as sq, thermo
 from strandforge.operators import barcodes, filters, isoforms, offtarget, panels, ranking, variants, windows
 from strandforge.operators.spacing import spaced_array
-from strandforge.plans.design import brute_force_sites
+from strandforge.plans.design import brute_force_sites, screened_sites
 from strandforge.session import scratch_path
 from strandforge.sources import alignments, fasta, genes
 
@@ -183,6 +183,51 @@ def test_offtarget_hits_equal_a_full_scan(spark, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("mismatches, lengths", [(0, (3, 40, 70)), (1, (40, 50, 25, 33)), (2, (40, 9, 100)), (3, (50,))])
+def test_offtarget_hits_of_any_length(spark, monkeypatch, mismatches, lengths):
+    rng = random.Random(7)
+    a = dna(rng, 220)
+    b = dna(rng, 20) + a[60:170] + revcomp(a[20:90]) + "N" + a[:105]
+    b = "".join(rng.choice("ACGT") if c != "N" and rng.random() < .03 else c for c in b)
+    refs = [("a", a), ("b", b), ("b", a[5:64]), ("c", "AC"), ("d", "A" * 45)]
+    targets = sorted({x[p:p + n] for n in lengths for x in (a, "A" * 120) for p in range(0, len(x) - n, 17)} | {dna(rng, lengths[0])})
+    monkeypatch.setattr(windows.cut_pieces, "__defaults__", (64,))
+    got = [tuple(r) for r in offtarget.offtarget_hits(
+        spark.createDataFrame([(t,) for t in targets + targets[:2]], "target STRING"),
+        spark.createDataFrame(refs, "ref STRING, seq STRING"), "ref", mismatches).collect()]
+    want = []
+    for name, s in refs:
+        for t in targets:
+            for p in range(len(s) - len(t) + 1):
+                for frame, x in ((-1, t), (1, revcomp(t))):
+                    off = sum(u != v for u, v in zip(x, s[p:p + len(t)]))
+                    if off <= mismatches and "N" not in s[p:p + len(t)]:
+                        want.append((t, name, p, frame, off, (len(t) - off) / len(t), len(t) - 4.0 * off))
+    assert sorted(got) == sorted(want)
+
+
+def test_sites_of_another_length_are_screened_and_others_rejected(spark):
+    rng = random.Random(10)
+    a = dna(rng, 900)
+    texts = {"A": a, "B": dna(rng, 500) + "N" + a[150:700] + dna(rng, 100)}
+    seqs = spark.createDataFrame(list(texts.items()), "gene STRING, seq STRING")
+
+    def bound(target, seq):
+        return any(sum(u != v for u, v in zip(x, seq[p:p + len(x)])) <= 1
+                   for x in (target, revcomp(target)) for p in range(len(seq) - len(target) + 1))
+
+    for t in (filters.DEMO.but(length=50), filters.DEMO):
+        sites = {(r.gene, r.target) for r in brute_force_sites(seqs, t).collect()}
+        want = {(g, x) for g, x in sites if not bound(x, texts["B" if g == "A" else "A"])}
+        assert {(r.gene, r.target) for r in screened_sites(seqs, t, seqs).collect()} == want and set() < want < sites
+    asked = spark.createDataFrame([("A", a[:30]), ("A", "N" + a[:39]), ("A", None), ("A", "A")], "gene STRING, target STRING")
+    kept, rejects = offtarget.specific_by_search(asked, seqs)
+    assert [r.target for r in kept.collect()] == [a[:30]]
+    assert {(r.target, r.reason) for r in rejects.collect()} == {("N" + a[:39], "letters"), (None, "null"), ("A", "length")}
+    with pytest.raises(ValueError):
+        screened_sites(seqs, filters.DEMO, seqs, 40)
+
+
 def test_random_draws_are_repeatable_and_sound(spark):
     df = spark.createDataFrame([(1, "ACGT" * 100), (2, "ACGTA" * 10)], "i INT, seq STRING")
     a = sorted(map(tuple, windows.windows_random(df, ["i"], 40, 5, 9).collect()))

@@ -147,6 +147,36 @@ cte("variants", """SELECT doc_id, gene, seq, v_start, v_end, strand, ref,
     "transcripts")
 
 
+ALONG = 101
+
+
+def variants_along(spark, sf_dir) -> DataFrame:
+    """Variants all along every text: at its first base, every 101 bases from there and at its last base, kinds in turn; no text is too short.
+
+    ``doc_id`` numbers the variant (text * 1000000 + number), so that plans keyed by it keep the variants of a text apart.
+    """
+    return (transcripts(spark, sf_dir).withColumn("n", F.length("seq").cast("bigint")).filter("n > 0")
+            .select("doc_id", "gene", "seq", "n", F.explode(F.expr(f"sequence(0L, CAST(ceil((n - 1) / {ALONG}) AS BIGINT))")).alias("i"))
+            .selectExpr("doc_id * 1000000 + i AS doc_id", "gene", "seq", "n", "(doc_id + i) % 4 AS kind", f"least(1 + i * {ALONG}, n) AS v_start",
+                        "CASE WHEN (doc_id + i) % 3 = 0 THEN -1 ELSE 1 END AS strand")
+            .selectExpr("*", "least(n, v_start + CASE kind WHEN 1 THEN 2 WHEN 3 THEN 1 ELSE 0 END) AS v_end")
+            .selectExpr("doc_id", "gene", "seq", "kind", "v_start", "v_end", "strand",
+                        "CASE WHEN kind = 2 THEN '-' ELSE substring(seq, CAST(v_start AS INT), CAST(v_end - v_start + 1 AS INT)) END AS ref")
+            .selectExpr("*", "CASE kind WHEN 3 THEN '-' WHEN 2 THEN substring(seq, CAST(greatest(v_start - 1, 1) AS INT), 2) "
+                             "ELSE translate(ref, 'ACGT', 'TGCA') END AS alt")
+            .drop("kind"))
+
+
+cte("variants_along", f"""SELECT doc_id, gene, seq, v_start, v_end, strand, ref,
+    CASE kind WHEN 3 THEN '-' WHEN 2 THEN substr(seq, greatest(v_start - 1, 1), 2) ELSE translate(ref, 'ACGT', 'TGCA') END AS alt
+  FROM (SELECT *, CASE WHEN kind = 2 THEN '-' ELSE substr(seq, v_start, v_end - v_start + 1) END AS ref
+  FROM (SELECT *, least(length(seq), v_start + CASE kind WHEN 1 THEN 2 WHEN 3 THEN 1 ELSE 0 END) AS v_end
+  FROM (SELECT doc_id * 1000000 + i AS doc_id, gene, seq, (doc_id + i) % 4 AS kind, least(1 + i * {ALONG}, length(seq)) AS v_start,
+      CASE WHEN (doc_id + i) % 3 = 0 THEN -1 ELSE 1 END AS strand
+    FROM (SELECT *, unnest(range(0, (length(seq) + {ALONG - 2}) // {ALONG} + 1)) AS i FROM transcripts WHERE length(seq) > 0))))""",
+    "transcripts")
+
+
 def codes(spark, sf_dir) -> DataFrame:
     """20-base codes: all consecutive 20-mers of the benchmark texts, in order."""
     return (table(spark, sf_dir, "benchmark")

@@ -24,6 +24,11 @@ def cte(name: str, body: str, *needs: str, keep: bool = False) -> None:
     _CTES[name] = (body, needs, keep)
 
 
+def sql_of(name: str) -> tuple[str, tuple[str, ...], bool]:
+    """Body of a named subquery, what it needs and whether it is kept."""
+    return _CTES[name]
+
+
 def using(needs: str, body: str) -> str:
     """``body`` with a WITH clause holding the named subqueries and all they need."""
     order: list[str] = []

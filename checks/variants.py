@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from strandforge.functions.sequence import flip_position, mutate
 from strandforge.operators import variants as vr
 
-from .inputs import sql_revcomp, sql_tm_of, tiles, transcripts, variants
-from .registry import cte, query, using
+from .inputs import sql_revcomp, sql_tm_of, tiles, transcripts, variants, variants_along
+from .registry import cte, query, sql_of, using
 
 
 def r2(x: str) -> str:
@@ -107,6 +109,98 @@ def _(spark, sf_dir):
     return b.select("doc_id", "left_len", "right_len", F.round("tm_left", 6).alias("tm_left"), F.round("tm_right", 6).alias("tm_right"))
 
 
+# ---- the same operators on variants all along every text, edges and short texts included -----------
+
+cte("v_along", """SELECT *, CASE WHEN alt = '-' THEN 'DEL' WHEN ref = '-' THEN 'INS' WHEN v_start = v_end THEN 'SNP' ELSE 'MNP' END AS kind,
+    substr(seq, g_start, v_end + 50 - g_start + 1) AS local, v_start - g_start AS ls, v_end - g_start AS le
+  FROM (SELECT *, greatest(v_start - 50, 1) AS g_start FROM variants_along)""", "variants_along", keep=True)
+cte("allele_heads_along", """SELECT doc_id, strand, allele, head, substr(seq, v_end + 1, 50) AS tail FROM (
+    SELECT *, 'ref' AS allele, substr(seq, f, v_end - f + 1) AS head FROM (SELECT *, greatest(v_start - 50, 1) AS f FROM variants_along)
+    UNION ALL SELECT *, 'mut', CASE WHEN ref = '-' THEN substr(seq, f, v_end - f + 1) ELSE substr(seq, f, v_start - f) END || CASE alt WHEN '-' THEN '' ELSE alt END
+      FROM (SELECT *, greatest(v_start - 50, 1) AS f FROM variants_along))""", "variants_along", keep=True)
+
+_OWN = ("variants", "v", "points_v", "junction_points", "arms5", "arms3", "grid", "allele_heads", "allele_arms", "balance")
+
+
+def along(sql: str) -> str:
+    """``sql`` on the subqueries of the variants along whole texts; an arm is no longer than what is left of the text."""
+    for side in ("head", "tail"):
+        sql = sql.replace(f"{'right' if side == 'head' else 'left'}({side}, k) END AS s FROM (SELECT *, unnest(range(10, 31)) AS k FROM allele_heads WHERE allele = 'mut')",
+                          f"{'right' if side == 'head' else 'left'}({side}, k) END AS s FROM (SELECT *, unnest(range(10, 31)) AS k FROM allele_heads WHERE allele = 'mut') WHERE k <= length({side})")
+    return re.sub(rf"(?<!')\b({'|'.join(_OWN)})\b(?!')", r"\1_along", sql)
+
+
+for _name in ("points_v", "junction_points", "arms5", "arms3", "grid", "allele_arms", "balance"):
+    _body, _needs, _keep = sql_of(_name)
+    cte(f"{_name}_along", along(_body), *map(along, _needs), keep=_keep)
+
+
+def numbered(df):
+    return df.withColumnRenamed("doc_id", "variant_no")
+
+
+@query("variant_type_along", using("v_along", "SELECT doc_id AS variant_no, ref, alt, kind FROM v_along"))
+def _(spark, sf_dir):
+    return numbered(vr.with_type(variants_along(spark, sf_dir)).select("doc_id", "ref", "alt", "kind"))
+
+
+@query("mutate_along", using("variants_along", """SELECT doc_id AS variant_no, CASE WHEN ref = '-' THEN substr(seq, 1, v_end) || alt || substr(seq, v_end + 1)
+    ELSE substr(seq, 1, v_start - 1) || CASE alt WHEN '-' THEN '' ELSE alt END || substr(seq, v_end + 1) END AS mutated FROM variants_along"""))
+def _(spark, sf_dir):
+    # an insertion goes behind its base, as everywhere in this module
+    first = F.when(F.col("ref") == "-", F.col("v_end")).otherwise(F.col("v_start") - 1)
+    return numbered(variants_along(spark, sf_dir).select("doc_id", mutate("seq", first, "v_end", "ref", "alt").alias("mutated")))
+
+
+@query("strand_flip_pos_along", using("variants_along", """SELECT doc_id AS variant_no, CASE strand WHEN 1 THEN v_start ELSE length(seq) - v_end - 1 END AS pos5,
+    CASE strand WHEN 1 THEN v_end ELSE length(seq) - v_start - 1 END AS pos3 FROM variants_along"""))
+def _(spark, sf_dir):
+    n = F.length("seq").cast("bigint")
+    return numbered(variants_along(spark, sf_dir).select("doc_id", flip_position("v_start", "v_end", n, "strand").alias("pos5"),
+                                                         flip_position("v_end", "v_start", n, "strand").alias("pos3")))
+
+
+@query("variant_junctions_along", using("junction_points_along", "SELECT doc_id AS variant_no, * EXCLUDE (doc_id) FROM junction_points_along"))
+def _(spark, sf_dir):
+    j = vr.junctions(variants_along(spark, sf_dir))
+    return numbered(j.select("doc_id", "kind", "strand", "allele", "target", "pos5", "pos3", "g_pos5", "g_pos3", "edit_kind", "edit_offset"))
+
+
+def grid_along(spark, sf_dir):
+    return vr.arm_grid(vr.junctions(variants_along(spark, sf_dir)))
+
+
+# all pairs are made and weighed; they come out as figures per point, a hundred times fewer rows
+@query("arm_grid_along", using("grid_along", """SELECT doc_id AS variant_no, allele, pos5, count(*) AS n, sum(arm5_len) AS n5, sum(arm3_len) AS n3, max(bds5) AS bds5, max(bds3) AS bds3,
+    max(tm5) AS tm5, max(tm3) AS tm3, CAST(sum(CAST(round(score * 100) AS BIGINT)) AS BIGINT) AS score FROM grid_along GROUP BY ALL"""))
+def _(spark, sf_dir):
+    return numbered(grid_along(spark, sf_dir).groupBy("doc_id", "allele", "pos5").agg(
+        F.count("*").alias("n"), F.sum("arm5_len").alias("n5"), F.sum("arm3_len").alias("n3"), F.max("bds5").alias("bds5"), F.max("bds3").alias("bds3"),
+        F.max("tm5").alias("tm5"), F.max("tm3").alias("tm3"), F.sum(F.round(F.col("score") * 100).cast("bigint")).alias("score")))
+
+
+@query("rank_arm_designs_along", using("grid_along", """SELECT doc_id AS variant_no, allele, pos5, arm5_len, arm3_len, score,
+    CAST(row_number() OVER (PARTITION BY doc_id, allele, pos5 ORDER BY score, arm5_len, arm3_len) AS INTEGER) AS rank FROM grid_along QUALIFY rank <= 3"""))
+def _(spark, sf_dir):
+    r = vr.rank_designs(grid_along(spark, sf_dir), ["doc_id", "allele", "pos5"]).filter("rank <= 3")
+    return numbered(r.select("doc_id", "allele", "pos5", "arm5_len", "arm3_len", "score", "rank"))
+
+
+@query("allele_sites_along", using("allele_arms_along", f"""SELECT doc_id AS variant_no, allele, strand, plp_left, plp_right, plp_left || plp_right AS plp_bds, coding_seq,
+    round({sql_tm_of('read_l')}, 6) AS plp_tm_left, round({sql_tm_of('read_r')}, 6) AS plp_tm_right, round({sql_tm_of('(plp_left || plp_right)')}, 6) AS plp_tm FROM allele_arms_along"""))
+def _(spark, sf_dir):
+    a = vr.allele_sites(variants_along(spark, sf_dir))
+    return numbered(a.select("doc_id", "allele", "strand", "plp_left", "plp_right", "plp_bds", "coding_seq",
+                             *[F.round(c, 6).alias(c) for c in ("plp_tm_left", "plp_tm_right", "plp_tm")]))
+
+
+@query("arm_balance_along", using("balance_along variants_along", """SELECT v.doc_id AS variant_no, CAST(left_len AS INTEGER) AS left_len, CAST(right_len AS INTEGER) AS right_len,
+    round(tm_left, 6) AS tm_left, round(tm_right, 6) AS tm_right FROM variants_along v LEFT JOIN (SELECT * FROM balance_along WHERE n = 1) b USING (doc_id)"""))
+def _(spark, sf_dir):
+    b = vr.arm_balance(variants_along(spark, sf_dir))
+    return numbered(b.select("doc_id", "left_len", "right_len", F.round("tm_left", 6).alias("tm_left"), F.round("tm_right", 6).alias("tm_right")))
+
+
 @query("ilock_arms", using("tiles", f"""SELECT doc_id, tile_no, {r2(sql_tm_of('target'))} AS ilock_tm, {r2(sql_tm_of('substr(target, 2, 20)'))} AS ilock_tm5, {r2(sql_tm_of('substr(target, 21, 20)'))} AS ilock_tm3,
   {sql_revcomp('target')} AS ilock_bds, {sql_revcomp('substr(target, 2, 20)')} AS ilock_bds5, {sql_revcomp('substr(target, 21, 20)')} AS ilock_bds3 FROM tiles"""))
 def _(spark, sf_dir):

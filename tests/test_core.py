@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from checks import inputs
 from strandforge.functions import sequence as sq, thermo
 from strandforge.operators import barcodes, filters, isoforms, offtarget, panels, ranking, variants, windows
 from strandforge.operators.spacing import spaced_array
@@ -228,6 +229,19 @@ def test_sites_of_another_length_are_screened_and_others_rejected(spark):
         screened_sites(seqs, filters.DEMO, seqs, 40)
 
 
+def test_variants_lie_along_whole_texts(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: len(r.seq) for r in inputs.transcripts(spark, sf).collect() if r.seq}
+    places = {}
+    for r in inputs.variants_along(spark, sf).drop("seq").collect():
+        assert r.ref and r.alt and 1 <= r.v_start <= r.v_end <= texts[r.doc_id // 1000000]
+        places.setdefault(r.doc_id // 1000000, []).append(r.v_start)
+    assert places.keys() == texts.keys() and min(texts.values()) < 400
+    for doc, starts in places.items():
+        starts.sort()
+        assert starts[0] == 1 and starts[-1] == texts[doc] and all(0 < b - a <= inputs.ALONG for a, b in zip(starts, starts[1:]))
+
+
 def test_random_draws_are_repeatable_and_sound(spark):
     df = spark.createDataFrame([(1, "ACGT" * 100), (2, "ACGTA" * 10)], "i INT, seq STRING")
     a = sorted(map(tuple, windows.windows_random(df, ["i"], 40, 5, 9).collect()))

@@ -98,7 +98,7 @@ def _apart(a: str, b: str) -> float:
 def seq_lib(codes: DataFrame, colors: dict[str, int] = COLORS, lib: str = "lib", order: str = "code_no") -> DataFrame:
     """seq_lib(lib, seq, color, grade, fraction): the first codes of each library dealt to colours and grades.
 
-    ``order`` counts from 0 within the library. A library with too few codes gives no rows.
+    ``order`` counts from 0 within the library. A library with too few codes gives no rows; ``seq_lib_rejects`` lists it.
     """
     spark = codes.sparkSession
     slots = [(n, c, g, g / steps) for n, (c, g, steps) in enumerate(
@@ -110,6 +110,13 @@ def seq_lib(codes: DataFrame, colors: dict[str, int] = COLORS, lib: str = "lib",
             .select(lib, F.col("code").alias("seq"), "color", "grade", "fraction"))
 
 
+def seq_lib_rejects(codes: DataFrame, colors: dict[str, int] = COLORS, lib: str = "lib", order: str = "code_no") -> DataFrame:
+    """(lib, codes, reason): libraries that ``seq_lib``, and with it ``barcode_lib``, leaves out."""
+    needed = sum(steps + 1 for steps in colors.values())
+    return (codes.groupBy(lib).agg(F.count("*").alias("codes"), F.max(F.coalesce(F.col(order) == needed - 1, F.lit(False))).alias("_enough"))
+            .filter("NOT _enough").select(lib, "codes", F.lit("too few codes").alias("reason")))
+
+
 def grade_product(library: DataFrame, order: list[str], lib: str = "lib") -> DataFrame:
     """All combinations of one grade per colour, in a row per library that is exploded colour by colour.
 

@@ -241,13 +241,17 @@ def order_by_coverage(sites: DataFrame) -> DataFrame:
 
 
 def search_all(loci: DataFrame, isoforms: DataFrame, splices: DataFrame, t: Thresholds, strategy: str) -> DataFrame:
-    """The chosen isoform strategy for genes with isoforms, brute force for the others; an error for any other name."""
-    from ..plans.design import brute_force_sites
+    """The chosen isoform strategy for genes with isoforms, brute force for the others; an error for any other name.
+
+    ``brute_force`` and ``exon_junction`` take every gene, whether it has isoforms or not.
+    """
+    from ..plans.design import brute_force_sites, junction_sites
+    whole = {"brute_force": brute_force_sites, "exon_junction": junction_sites}
     runs = {"isoform_specific": specific_sites, "isoform_consensus": consensus_sites}
-    if strategy == "brute_force":
-        return brute_force_sites(loci, t)
+    if strategy in whole:
+        return whole[strategy](loci, t)
     if strategy not in runs:
-        raise ValueError(f"unknown strategy {strategy!r}: {', '.join([*runs, 'brute_force'])}")
+        raise ValueError(f"unknown strategy {strategy!r}: {', '.join([*runs, *whole])}")
     known, run = isoforms.select("gene").distinct(), runs[strategy]
     with_iso = run(loci.join(known, "gene", "left_semi"), isoforms, splices, t)
     without = brute_force_sites(loci.join(known, "gene", "left_anti"), t)

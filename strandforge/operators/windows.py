@@ -243,7 +243,7 @@ def windows_random(seqs: DataFrame, keys: list[str], length: int, count: int, se
     """``count`` distinct starts per sequence: those with the smallest seeded hash of (key, start).
 
     The draw is per sequence row, inside one expression: no shuffle, repeatable after a lost executor.
-    Sequences too short for ``count`` windows of that length give none.
+    Sequences too short for ``count`` windows of that length give none; ``random_rejects`` lists them.
     """
     n = F.length(seq)
     starts = F.sequence(F.lit(0), n - length)
@@ -253,3 +253,10 @@ def windows_random(seqs: DataFrame, keys: list[str], length: int, count: int, se
             .select(*keys, seq, F.explode(drawn).alias("d"))
             .select(*keys, F.col("d.p").cast("bigint").alias("pos"),
                     F.col(seq).substr(F.col("d.p") + 1, F.lit(length)).alias("target")))
+
+
+def random_rejects(seqs: DataFrame, keys: list[str], length: int, count: int, seq: str = "seq") -> DataFrame:
+    """(keys, reason): the sequences of which ``windows_random`` draws nothing."""
+    n = F.length(seq)
+    reason = F.when(n.isNull(), "null").when((n < length) | (n < length * count), "too short")
+    return seqs.select(*keys, reason.alias("reason")).filter("reason IS NOT NULL")

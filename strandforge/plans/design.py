@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.sequence import revcomp
 from ..operators.filters import Thresholds, passing
 from ..operators.offtarget import specific_by_search
+from ..operators.ranking import first_per
 from ..operators.spacing import selected_arrays
-from ..operators.windows import windows_at, windows_bruteforce
+from ..operators.windows import windows_at, windows_bruteforce, windows_junction
 from ..session import cut_lineage
 
 
@@ -34,6 +35,15 @@ def brute_force_sites(seqs: DataFrame, t: Thresholds, key: str = "gene", share:
             .drop("pos", "n_bad", *[c for c in place if c != "strand"]))
 
 
+def junction_sites(seqs: DataFrame, t: Thresholds, key: str = "gene") -> DataFrame:
+    """Windows around the supposed junctions -> limits -> the first of each gene, in the site schema; no genomic places."""
+    found = passing(windows_junction(seqs, [key], t.length), t)
+    none = F.lit(None).cast("bigint")
+    return (first_per(found, [key], ["ord"], t.max_sites).withColumn("sequence", revcomp("target"))
+            .withColumn("genomic_start", none).withColumn("genomic_end", none).withColumn("position", F.col("pos"))
+            .withColumn("length", F.lit(t.length)).withColumn("strategy", F.lit("exon_junction")).drop("pos", "ord", "n_bad"))
+
+
 def screened_sites(seqs: DataFrame, t: Thresholds, reference: DataFrame, mismatches: int = 1) -> DataFrame:
     """Brute-force sites that bind nowhere in ``reference`` (gene, seq) but in their own gene.
 

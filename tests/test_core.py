@@ -360,6 +360,29 @@ def test_nothing_vanishes_without_a_word(spark):
         isoforms.search_all(None, None, None, None, "exon_skipping")
 
 
+def test_short_libraries_and_sequences_are_listed(spark):
+    codes = spark.createDataFrame([(lib, i, "ACGT") for lib, n in (("full", 21), ("more", 30), ("short", 20)) for i in range(n)], "lib STRING, code_no BIGINT, code STRING")
+    assert {r.lib for r in barcodes.seq_lib(codes).collect()} == {"full", "more"}
+    assert [tuple(r) for r in barcodes.seq_lib_rejects(codes).collect()] == [("short", 20, "too few codes")]
+    seqs = spark.createDataFrame([(1, "A" * 200), (2, "A" * 199), (3, ""), (4, None)], "i INT, seq STRING")
+    assert {r.i for r in windows.windows_random(seqs, ["i"], 40, 5, 9).collect()} == {1}
+    assert {tuple(r) for r in windows.random_rejects(seqs, ["i"], 40, 5).collect()} == {(2, "too short"), (3, "too short"), (4, "null")}
+
+
+def test_search_all_knows_exon_junction(spark):
+    texts = {g: dna(random.Random(g), 700) for g in ("A", "B")} | {"C": "ACGT" * 5}
+    loci = spark.createDataFrame(list(texts.items()), "gene STRING, seq STRING")
+    t = filters.DEMO.but(max_sites=12)
+    every = windows.windows_between(loci, ["gene"], F.lit(0), F.col("seq_len") - 39, 40)
+    good = {(r.gene, r.pos) for r in filters.passing(every, t).select("gene", "pos").collect()}
+    want = set()
+    for g, seq in texts.items():
+        tried = [p for c in (len(seq) // 3, 2 * len(seq) // 3) for p in range(max(0, c - 100), min(len(seq) - 40, c + 100), 5)]
+        want |= {(g, p, revcomp(seq[p:p + 40]), "exon_junction") for p in [p for p in tried if (g, p) in good][:12]}
+    got = isoforms.search_all(loci, None, None, t, "exon_junction").select("gene", "position", "sequence", "strategy").collect()
+    assert len(got) == len(want) > 12 and {tuple(r) for r in got} == want
+
+
 @pytest.mark.parametrize("start", [5, 30, 200])
 def test_variant_places_at_region_starts(spark, start):
     seq = "".join(random.Random(9).choice("ACGT") for _ in range(400))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, decontaminate, jaccard, langid, line_dedup, packing, pii, suffix_dedup, toxicity, warc
+from . import ann, decontaminate, jaccard, langid, line_dedup, packing, pii, sharding, suffix_dedup, toxicity, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -128,3 +128,28 @@ def op3_pii(spark, sf_dir):
 def op7_suffix_dedup(spark, sf_dir):
     told = suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return told.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# CRC-32 of a text: a table of 256 remainders by rule, then one step per byte; ``crc_table`` is in scope as t
+_CRC_TABLE = """crc_table AS MATERIALIZED (SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+  lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, n)) AS crc)"""
+_CRC = """xor(list_reduce(list_transform(regexp_extract_all(hex(encode({0})), '..'), lambda h: ('0x' || h)::BIGINT),
+  lambda a, b: xor(a >> 8, t.crc[(xor(a, b) & 255) + 1]), 4294967295), 4294967295)"""
+_OP13 = f"""WITH RECURSIVE {_CRC_TABLE},
+d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size,
+  CAST({_CRC.format("coalesce(text, '')")} AS BIGINT) AS text_crc32,
+  CASE WHEN doc_id < 0 THEN 18446744073709551616::HUGEINT + doc_id ELSE coalesce(doc_id, 0)::HUGEINT END AS key FROM documents, crc_table t),
+drawn AS (SELECT row, (key * 2862933555777941757 + 1) % 18446744073709551616::HUGEINT AS key, 0::BIGINT AS b, 0::BIGINT AS grown FROM d),
+walk AS (SELECT row, key, b, grown, CAST(floor((grown + 1)::DOUBLE * (2147483648::DOUBLE / ((key // 8589934592) + 1)::DOUBLE)) AS BIGINT) AS j FROM drawn
+  UNION ALL SELECT row, key, b, grown, CAST(floor((grown + 1)::DOUBLE * (2147483648::DOUBLE / ((key // 8589934592) + 1)::DOUBLE)) AS BIGINT) AS j
+  FROM (SELECT row, (key * 2862933555777941757 + 1) % 18446744073709551616::HUGEINT AS key, CASE WHEN j < 8 THEN j ELSE b END AS b, j AS grown
+    FROM walk WHERE j < 9)),
+s AS (SELECT row, max(b) AS shard, max(grown) AS grown_shard FROM walk GROUP BY row)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard, row_number() OVER (PARTITION BY shard
+  ORDER BY (text_crc32 + coalesce((doc_id % 4096 + 4096) % 4096, 0)) % 4096, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
+  CAST(grown_shard AS INTEGER) AS grown_shard FROM d JOIN s USING (row)"""
+
+
+@query(_OP13)
+def op13_sharding(spark, sf_dir):
+    return sharding.sharded(table(spark, sf_dir, "documents"))

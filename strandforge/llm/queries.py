@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, decontaminate, jaccard, langid, line_dedup, packing, pii, sharding, suffix_dedup, toxicity, warc
+from . import align, ann, decontaminate, jaccard, langid, line_dedup, packing, pii, sharding, suffix_dedup, toxicity, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -25,6 +25,11 @@ def ranks_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def pieces_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -153,3 +158,8 @@ SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
 @query(_OP13)
 def op13_sharding(spark, sf_dir):
     return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_align(spark, sf_dir):
+    return align.scored(table(spark, sf_dir, "documents"), ranks_path(), pieces_path())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import align, ann, decontaminate, jaccard, langid, line_dedup, packing, pii, sharding, suffix_dedup, toxicity, warc
+from . import align, ann, decontaminate, jaccard, langid, line_dedup, packing, pii, sharding, suffix_dedup, toxicity, turn_trie, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -163,3 +163,31 @@ def op13_sharding(spark, sf_dir):
 @query()
 def op12_align(spark, sf_dir):
     return align.scored(table(spark, sf_dir, "documents"), ranks_path(), pieces_path())
+
+
+_OP11 = f"""WITH {_CRC_TABLE},
+t0 AS MATERIALIZED (SELECT conv_id AS c, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS x,
+  len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+    md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p FROM conversations WHERE conv_id IS NOT NULL),
+k0 AS (SELECT c, count(*) AS n, {_CRC.format("any_value(c::VARCHAR)").replace("t.crc", "any_value(t.crc)")} % 4 AS h FROM t0, crc_table t GROUP BY c),
+k AS MATERIALIZED (SELECT k0.c, k0.h, k0.c - k0.c % 20 AS first, least(k0.h, coalesce(b.n, 0)) AS g FROM k0 LEFT JOIN k0 b ON b.c = k0.c - k0.c % 20),
+r AS (SELECT k.c, t0.p AS d, x, words FROM k JOIN t0 ON t0.c = k.first AND t0.p <= k.h
+  UNION ALL SELECT k.c, p - h + g, x, words FROM k JOIN t0 ON t0.c = k.c AND t0.p > k.h),
+m AS MATERIALIZED (SELECT c, d, md5(string_agg(x, ',') OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING)) AS key, words FROM r
+  UNION ALL SELECT c, 0, '', 0 FROM k),
+n AS MATERIALIZED (SELECT d, key, min(c) AS c, count(*) AS n, max(words) AS words FROM m GROUP BY d, key),
+up AS MATERIALIZED (SELECT n.d, n.key, a.d AS pd, a.key AS pkey FROM n JOIN m a ON a.c = n.c AND a.d = n.d - 1),
+kids AS MATERIALIZED (SELECT pd AS d, pkey AS key, count(*) AS kids FROM up GROUP BY pd, pkey),
+sub AS (SELECT a.d, a.key, sum((n.n - 1) * n.words) AS saved, count(*) FILTER (kids IS NULL) AS leaves
+  FROM n JOIN m a ON a.c = n.c AND a.d <= n.d LEFT JOIN kids ON kids.d = n.d AND kids.key = n.key GROUP BY a.d, a.key),
+e AS (SELECT m.d, m.key, string_agg(m.c::VARCHAR, ',' ORDER BY m.c) AS ids FROM m JOIN (SELECT c, max(d) AS d FROM m GROUP BY c) z
+  ON m.c = z.c AND m.d = z.d GROUP BY m.d, m.key)
+SELECT n.c AS conv_id, CAST(n.d AS BIGINT) AS depth, pn.c AS parent_conv_id, n.n AS n_convs, coalesce(kids, 0) AS n_children, leaves AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256 FROM n JOIN sub ON sub.d = n.d AND sub.key = n.key
+  LEFT JOIN kids ON kids.d = n.d AND kids.key = n.key LEFT JOIN up ON up.d = n.d AND up.key = n.key
+  LEFT JOIN n pn ON pn.d = up.pd AND pn.key = up.pkey LEFT JOIN e ON e.d = n.d AND e.key = n.key"""
+
+
+@query(_OP11)
+def op11_turn_trie(spark, sf_dir):
+    return turn_trie.conversation_trie(table(spark, sf_dir, "conversations"))

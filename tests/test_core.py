@@ -207,6 +207,31 @@ def test_offtarget_hits_of_any_length(spark, monkeypatch, mismatches, lengths):
     assert sorted(got) == sorted(want)
 
 
+@pytest.mark.parametrize("mismatches, length", [(0, 40), (1, 32), (1, 40), (2, 50)])
+def test_only_windows_that_share_a_seed_leave_the_kernel(spark, mismatches, length):
+    rng = random.Random(13)
+    text = dna(rng, 400_000)
+    targets = [text[p:p + length] for p in range(0, 399_000, 500)] + [dna(rng, length) for _ in range(800)]
+    slots = offtarget._slots([length], mismatches)
+    seeds = [(s, t[e[p]:e[p + 1]]) for t in targets for s, (_, p, e) in enumerate(slots)]
+    code = str.maketrans("ACGT", "0123")
+    held = offtarget.seed_filter(spark.createDataFrame([(s, int(x.translate(code), 4)) for s, x in seeds], "slot INT, seed BIGINT"), len(seeds))
+    known = set(seeds)
+    true = sum((s, x[p + e[q]:p + e[q + 1]]) in known for x in (text, revcomp(text)) for p in range(len(text) - length + 1)
+               for s, (_, q, e) in enumerate(slots))
+    pieces = windows.cut_pieces(spark.createDataFrame([("a", text)], "ref STRING, seq STRING"), "seq", length - 1)
+    rests = len(slots[0][2]) - 2
+    left = pieces.select("ref", "piece_start", "piece_size", "piece").mapInArrow(
+        offtarget._candidates(slots, "ref", spark.sparkContext.broadcast(held)),
+        "ref STRING, pos BIGINT, frame INT, slot INT, seed BIGINT" + "".join(f", r{i} BIGINT" for i in range(rests))).count()
+    assert 798 * len(slots) <= true <= left <= 2 * true
+
+
+def test_a_full_filter_loses_nothing(spark, monkeypatch):
+    monkeypatch.setattr(offtarget, "MOST_WORDS", 5)
+    test_offtarget_hits_of_any_length(spark, monkeypatch, 1, (40, 50, 25, 33))
+
+
 def test_sites_of_another_length_are_screened_and_others_rejected(spark):
     rng = random.Random(10)
     a = dna(rng, 900)

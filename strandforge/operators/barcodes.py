@@ -25,74 +25,88 @@ def with_random_code(rows: DataFrame, key: str, length: int = 20, seed: int = 0)
     return rows.withColumn("code", F.array_join(letters, ""))
 
 
+def _close_pairs(left: DataFrame, right: DataFrame, closer_than: int, ordered: bool) -> DataFrame:
+    """(a_no, a, b_no, b, distance) of left(a_no, a, a_bits) and right(b_no, b, b_bits) that differ in fewer places than ``closer_than``.
+
+    Cut into ``closer_than + 1`` pieces, two codes that differ in fewer places share at least two of them, so they
+    meet in an equi-join on a pair of pieces, and those met several times are one row. Any letters and any lengths, of which only equal ones meet;
+    what has no packed code is compared letter by letter. With ``ordered``, only pairs with a_no < b_no.
+    """
+    pieces = closer_than + 1
+
+    def piece(code: Column, i: Column) -> Column:
+        lo, hi = (F.floor(F.length(code) * x / pieces).cast("int") for x in (i, i + 1))
+        return code.substr(lo + 1, hi - lo)
+
+    def keyed(df: DataFrame, code: str) -> DataFrame:
+        cut = df.select("*", F.length(code).alias("size"), F.transform(F.sequence(F.lit(0), F.lit(closer_than)), lambda i: piece(F.col(code), i)).alias("cut"))
+        keys = F.array(*[F.struct(F.lit(i * pieces + j).alias("pair_no"), F.concat(F.col("cut")[i], F.col("cut")[j]).alias("piece"))
+                         for i, j in combinations(range(pieces), 2)])
+        return cut.select("*", F.explode(keys).alias("k")).select("*", "k.pair_no", "k.piece").drop("k", "cut")
+
+    # few rows meet in very many pairs: a fixed number of partitions, which adaptive execution does not merge by their size
+    on, spread = ["size", "pair_no", "piece"], 4 * left.sparkSession.sparkContext.defaultParallelism
+    a, b = keyed(left, "a").repartition(spread, *on).alias("l"), keyed(right, "b").repartition(spread, *on).alias("r")
+    quick = packed_mismatches(F.col("a_bits"), F.col("b_bits"))
+    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in on]
+    met = a.join(b, [*same, F.coalesce(quick, F.lit(0)) < closer_than, *([F.col("a_no") < F.col("b_no")] if ordered else [])])
+    one = met.groupBy("a_no", "a", "b_no", "b").agg(F.min(quick).alias("quick"))
+    return one.select("a_no", "a", "b_no", "b", F.coalesce("quick", hamming(F.col("a"), F.col("b"))).cast("bigint").alias("distance")).filter(
+        F.col("distance") < closer_than)
+
+
 def hamming_pairs(codes: DataFrame, closer_than: int, length: int = 20) -> DataFrame:
     """(code_a, code_b, distance) of distinct codes closer than ``closer_than``, ``code_a < code_b``.
 
-    Cut into ``closer_than + 1`` pieces, two codes that differ in fewer places share at least two of them, so they
-    meet in an equi-join on a pair of pieces; each pair counts only at the first two pieces it shares. Any letters and any length:
-    what does not fit a packed code is compared letter by letter.
+    Any letters and any length; what does not fit a packed code is compared letter by letter.
     """
-    cuts = [round(i * length / (closer_than + 1)) for i in range(closer_than + 2)]
-    spans = list(zip(cuts, cuts[1:]))
     one = codes.select("code").distinct().filter(F.length("code") == length).withColumn("bits", packed("code"))
-    keys = F.array(*[F.struct(F.lit(n).alias("pair_no"), F.concat(
-        F.substring("code", spans[i][0] + 1, spans[i][1] - spans[i][0]),
-        F.substring("code", spans[j][0] + 1, spans[j][1] - spans[j][0])).alias("piece"))
-        for n, (i, j) in enumerate(combinations(range(len(spans)), 2))])
-    keyed = one.select("code", "bits", F.explode(keys).alias("k")).select("code", "bits", "k.pair_no", "k.piece")
-    a = keyed.withColumnsRenamed({"code": "code_a", "bits": "bits_a"})
-    b = keyed.withColumnsRenamed({"code": "code_b", "bits": "bits_b"})
-
-    def shared(i: int) -> Column:
-        lo, hi = spans[i]
-        return F.substring("code_a", lo + 1, hi - lo) == F.substring("code_b", lo + 1, hi - lo)
-
-    # number of the first pair of pieces that both codes share
-    first = F.lit(None)
-    for n, (i, j) in reversed(list(enumerate(combinations(range(len(spans)), 2)))):
-        first = F.when(shared(i) & shared(j), F.lit(n)).otherwise(first)
-    distance = _distance(F.col("code_a"), F.col("bits_a"), F.col("code_b"), F.col("bits_b"))
-    return (a.join(b, ["pair_no", "piece"]).filter("code_a < code_b").withColumn("distance", distance.cast("bigint"))
-            .filter((F.col("distance") < closer_than) & (F.col("pair_no") == first)).select("code_a", "code_b", "distance"))
-
-
-def diverse_codes(codes: DataFrame, apart: int = 10, batch: int = 2000) -> DataFrame:
-    """Scan codes in order of ``code_no`` and keep each that differs from all kept ones in ``apart`` places or more.
-
-    Codes with GGGGG are left out. Exact for any number of rows: the next ``batch`` undecided codes are settled
-    together, then every later code too close to a newly kept one is dropped in parallel. What is kept is
-    bounded by how many codes of that length can be that far apart, not by the input.
+    a, b = (one.select(F.col("code").alias(f"{x}_no"), F.col("code").alias(x), F.col("bits").alias(f"{x}_bits")) for x in "ab")
+    return _close_pairs(a, b, closer_than, True).select(F.col("a").alias("code_a"), F.col("b").alias("code_b"), "distance")
+
+
+def diverse_codes(codes: DataFrame, apart: int = 10, batch: int = 4096) -> DataFrame:
+    """Scan codes in order of (``code_no``, code) and keep each that differs from all kept ones in ``apart`` places or more.
+
+    Codes with GGGGG are left out; codes of unequal length are never too close. The scan is a greedy independent set of the graph of codes that are too
+    close, settled by rounds of joins: a code without a smaller undecided neighbour is kept, its neighbours are dropped, and the edges that are
+    left are written for the next round. ``batch`` codes are settled at a time, so that most others go as neighbours of kept ones before their own
+    pairs are looked for; of a batch, the driver learns its last place alone.
     """
-    spark = codes.sparkSession
-    left = (codes.filter(~has_run("code", "G", 5)).groupBy("code").agg(F.min("code_no").alias("code_no"))
-            .withColumn("bits", packed("code")))
-    kept: list[tuple[int, str]] = []
+    every = codes.filter(~has_run("code", "G", 5)).groupBy("code").agg(F.min("code_no").alias("code_no")).withColumn("bits", packed("code"))
+    left, kept = cut_lineage(every.select(F.struct("code_no", "code").alias("no"), "code", "bits"), "codes"), None
+
+    def side(df: DataFrame, x: str) -> DataFrame:
+        return df.select(F.col("no").alias(f"{x}_no"), F.col("code").alias(x), F.col("bits").alias(f"{x}_bits"))
+
     while True:
-        head = left.orderBy("code_no").limit(batch).collect()
-        if not head:
-            break
-        fresh: list = []
-        for row in head:
-            if all(_apart(row.code, k.code) >= apart for k in fresh):
-                fresh.append(row)
-        kept += [(r.code_no, r.code) for r in fresh]
-        if len(head) < batch:
-            break
-        new = F.array(*[F.struct(F.lit(r.code).alias("code"), F.lit(r.bits).cast("bigint").alias("bits")) for r in fresh])
-        left = cut_lineage(left.filter(F.col("code_no") > head[-1].code_no).filter(
-            ~F.exists(new, lambda k: F.coalesce(_distance(k["code"], k["bits"], F.col("code"), F.col("bits")) < apart, F.lit(False)))))
-    return spark.createDataFrame(kept, "code_no BIGINT, code STRING")
-
-
-def _distance(a: Column, a_bits: Column, b: Column, b_bits: Column) -> Column:
-    """Places in which two codes differ, on packed codes where both have one; null for unequal lengths."""
-    fast = F.when(F.length(a) == F.length(b), packed_mismatches(a_bits, b_bits))
-    return F.coalesce(fast, hamming(a, b))
-
-
-def _apart(a: str, b: str) -> float:
-    """The same on the driver; codes of unequal length are never too close."""
-    return sum(x != y for x, y in zip(a, b)) if len(a) == len(b) else float("inf")
+        head = left.orderBy("no").limit(batch)
+        edge = head.agg(F.max("no").alias("no"), F.count("*").alias("n")).first()
+        if edge.n < batch:
+            fresh = _independent(left, _close_pairs(side(left, "a"), side(left, "b"), apart, True))
+            kept = fresh if kept is None else kept.unionByName(fresh)
+            return kept.select("code_no", "code")
+        last = F.struct(F.lit(edge.no.code_no).alias("code_no"), F.lit(edge.no.code).alias("code"))
+        head = left.filter(F.col("no") <= last)
+        fresh = _independent(head, _close_pairs(side(head, "a"), side(head, "b"), apart, True))
+        kept = fresh if kept is None else kept.unionByName(fresh)
+        rest = left.filter(F.col("no") > last)
+        close = _close_pairs(side(fresh, "a"), side(rest, "b"), apart, False).select(F.col("b_no").alias("no"))
+        left = cut_lineage(rest.join(close, "no", "left_anti"), "codes")
+
+
+def _independent(codes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(no, code_no, code, bits): ``codes`` without the neighbours of kept ones; ``edges`` has a_no < b_no."""
+    edges, gone = cut_lineage(edges.select("a_no", "b_no"), "edges"), []
+    while edges.limit(1).count():
+        keep = edges.select("a_no").distinct().join(edges.select(F.col("b_no").alias("a_no")), "a_no", "left_anti")
+        drop = cut_lineage(edges.join(keep, "a_no").select(F.col("b_no").alias("no")).distinct(), "dropped")
+        gone.append(drop)
+        # whatever a dropped code is too close to is no longer held back by it
+        edges = cut_lineage(edges.join(drop, F.col("b_no") == F.col("no"), "left_anti").join(drop, F.col("a_no") == F.col("no"), "left_anti"), "edges")
+    for drop in gone:
+        codes = codes.join(drop, "no", "left_anti")
+    return cut_lineage(codes.select("no", "no.code_no", "code", "bits"), "kept")
 
 
 def seq_lib(codes: DataFrame, colors: dict[str, int] = COLORS, lib: str = "lib", order: str = "code_no") -> DataFrame:

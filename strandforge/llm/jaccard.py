@@ -13,7 +13,8 @@ fixed size that covers all documents), rarest first; two sets that reach the thr
 4. The labels are the components of all links found.
 
 Defined cases: a document of fewer than five words is one shingle; one without words is linked with nothing; rows with a null doc_id are linked with
-nothing and get no component; rows that repeat a doc_id each have their own set and share a node; the component is the smallest doc_id, so ties cannot occur.
+nothing and get no component; rows that repeat a doc_id each have their own set and belong
+together, but those without words keep that doc_id; the component is the smallest doc_id, so ties cannot occur.
 """
 
 from __future__ import annotations
@@ -322,6 +323,15 @@ def _hub_pairs(open_: DataFrame, seeds: tuple[int, int], num: int, den: int) ->
             .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct())
 
 
+def _same_ids(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of the texts of one doc_id; none where no doc_id has two texts."""
+    own, text = signed.filter("n > 0 AND doc IS NOT NULL"), F.struct("d1", "d2", "n")
+    several = own.groupBy("doc").agg(F.min(text).alias("low"), F.max(text).alias("high")).filter("low <> high").select("doc")
+    met = own.join(several, "doc").join(classes.select("d1", "d2", "n", "node"), ["d1", "d2", "n"])
+    first = met.groupBy("doc").agg(F.min("node").alias("a"))
+    return met.join(first, "doc").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+
+
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN,
                       sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """One row per row of ``docs``: doc, n (size of its set), component (smallest doc_id reachable by links, itself included)."""
@@ -358,7 +368,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     links = _verified(stars.select("a", "b"), sets, num, den)
 
     # a class's label is the smallest class known to be connected with it; what stays open are pairs of a bucket with different labels
-    labelled = _merged(node.withColumn("label", F.col("node")), links)
+    labelled = _merged(node.withColumn("label", F.col("node")), links.unionByName(_same_ids(signed, classes)))
     tried, before, turn = stars.select("a", "b"), None, 2
     while True:
         rest = buckets.select("token", "gid", "n", "pos").join(labelled, "gid")
@@ -380,7 +390,8 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
              .join(tried, ["a", "b"], "left_anti"))
     labelled = _merged(labelled, _verified(pairs, sets, num, den))
 
-    found = labelled.select("node", F.col("label").alias("component"))
+    # classes of different texts may share a doc_id, and with it a node
+    found = labelled.groupBy("node").agg(F.min("label").alias("component"))
     named = classes.select("d1", "d2", "n", "node").join(found, "node").select("d1", "d2", "n", "component")
     return signed.join(named, ["d1", "d2", "n"], "left").select(
         "doc", "n", F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc")).alias("component"))

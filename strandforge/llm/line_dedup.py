@@ -113,8 +113,8 @@ class Cuckoo:
 
     def remove(self, k1: np.ndarray, k2: np.ndarray) -> None:
         """Take one copy of each key's fingerprint out; only for keys that are held."""
-        prints, a, b = self._places(k1, k2)
-        for at in (a, b):
+        prints, at, other = self._places(k1, k2)
+        for _ in range(2):
             left = np.ones(len(prints), bool)
             for _ in range(2 * SLOTS):
                 todo = np.flatnonzero(left & (self.table[at] == prints[:, None]).any(axis=1))
@@ -124,7 +124,8 @@ class Cuckoo:
                 pick = todo[one]
                 self.table[at[pick], (self.table[at[pick]] == prints[pick][:, None]).argmax(axis=1)] = 0
                 left[pick] = False
-            prints, b = prints[left], b[left]
+            # what was not in its first bucket is in the other
+            prints, at, other = prints[left], other[left], at[left]
 
 
 # ---------------------------------------------------------------- keys of lines

@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+#: Places of one bitmap, as Spark's bitmap functions make them; bitmaps that are spelled out at a time.
+BUCKET, SPELLED = 32_768, 64
 
 
 def _greedy_count(p: Column, gap: Column) -> Column:
@@ -56,14 +64,80 @@ def spaced_array(p: Column, n: int, min_gap: int = 1, keep_all: bool = False) ->
     return F.when(F.size(p) <= n, p).otherwise(found)
 
 
+class _Bits:
+    """Sorted positions held as bitmaps of ``BUCKET`` places; a few of them are spelled out at a time."""
+
+    def __init__(self, numbers: list[int], bitmaps: list[bytes]):
+        order = sorted(range(len(numbers)), key=numbers.__getitem__)
+        self.numbers, self.bitmaps = [numbers[i] for i in order], [bitmaps[i] for i in order]
+        self.lows = [(b - 1) * BUCKET + 1 for b in self.numbers]
+        self.size = sum(int.from_bytes(m, "little").bit_count() for m in self.bitmaps)
+        self.spelled: dict[int, list[int]] = {}
+        self.first, self.last = self.values(0)[0], self.values(len(order) - 1)[-1]
+
+    def values(self, i: int) -> list[int]:
+        if i not in self.spelled:
+            if len(self.spelled) >= SPELLED:
+                self.spelled.clear()
+            at = np.flatnonzero(np.unpackbits(np.frombuffer(self.bitmaps[i], np.uint8), bitorder="little"))
+            b = self.numbers[i]
+            # places count up from the bucket's start, or down from it where positions are not above zero
+            self.spelled[i] = ((b - 1) * BUCKET + 1 + at if b > 0 else (b * BUCKET - at)[::-1]).tolist()
+        return self.spelled[i]
+
+    def after(self, x: int) -> int | None:
+        """The smallest position that is not below ``x``."""
+        i = max(bisect_right(self.lows, x) - 1, 0)
+        held = self.values(i)
+        j = bisect_left(held, x)
+        if j < len(held):
+            return held[j]
+        return self.values(i + 1)[0] if i + 1 < len(self.numbers) else None
+
+    def picks(self, gap: int, most: int | None) -> Iterator[int]:
+        """The first position, and on from each pick the next at least ``gap`` away."""
+        at, taken = self.first, 0
+        while at is not None and (most is None or taken < most):
+            yield at
+            at, taken = self.after(at + max(gap, 1)), taken + 1
+
+    def spaced(self, n: int, min_gap: int, keep_all: bool) -> list[int]:
+        """What ``spaced_array`` chooses, by the same search."""
+        if not keep_all and self.size <= n:
+            return list(self.picks(1, None))
+        span, best = self.last - self.first, -1
+        lo, hi = 0, span
+        while lo <= hi:
+            mid = (lo + hi) // 2
+            # more picks than n fit only if n - 1 gaps fit, and ceil(size / gap) picks always fit
+            fits = mid > min_gap and mid * (n - 1) <= span and (mid * n <= self.size or sum(1 for _ in self.picks(mid, n)) >= n)
+            if fits:
+                lo, best = mid + 1, mid
+            else:
+                hi = mid - 1
+        return list(self.picks(max(best, 1), None if keep_all else n))
+
+
+def _choose(n: int, min_gap: int, keep_all: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            picks = [_Bits([b["number"] for b in held], [b["bits"] for b in held]).spaced(n, min_gap, keep_all) for held in rb.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(picks, pa.list_(pa.int64()))], names=[rb.schema.names[0], "picks"])
+    return run
+
+
 def selected_arrays(sites: DataFrame, gene: str, pos: str, n: int, min_gap: int = 1, keep_all: bool = False) -> DataFrame:
     """(gene, picks): the chosen positions of each gene, ascending.
 
-    Positions are gathered as a set that is combined on the map side, so a gene never brings together more
-    numbers than its locus has bases, however many rows (copies, isoforms) carry them.
+    Positions are bits: rows become bitmaps of 32,768 places per gene and bucket on the map side, however many rows (copies, isoforms) carry them, so
+    a gene brings together an eighth of a byte per base of its locus. The search steps from pick to pick, n steps a round.
     """
-    return (sites.groupBy(gene).agg(F.sort_array(F.collect_set(F.col(pos).cast("bigint"))).alias("_p"))
-            .select(gene, spaced_array(F.col("_p"), n, min_gap, keep_all).alias("picks")))
+    at = F.col(pos).cast("bigint")
+    bits = (sites.filter(F.col(pos).isNotNull()).groupBy(gene, F.bitmap_bucket_number(at).alias("_number"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("_bits")))
+    held = bits.groupBy(gene).agg(F.collect_list(F.struct(F.col("_number").alias("number"), F.col("_bits").alias("bits"))).alias("_held"))
+    schema = T.StructType([held.schema[gene], T.StructField("picks", T.ArrayType(T.LongType()))])
+    return held.select(gene, "_held").mapInArrow(_choose(n, min_gap, keep_all), schema)
 
 
 def selected_positions(sites: DataFrame, gene: str, pos: str, n: int, min_gap: int = 1,

@@ -2,14 +2,16 @@
 
 import math
 import random
+import tracemalloc
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from checks import inputs
 from strandforge.functions import sequence as sq, thermo
 from strandforge.operators import barcodes, filters, isoforms, offtarget, panels, ranking, variants, windows
-from strandforge.operators.spacing import spaced_array
+from strandforge.operators.spacing import BUCKET, _Bits, selected_arrays, spaced_array, spaced_selection
 from strandforge.plans.design import brute_force_sites, screened_sites
 from strandforge.session import scratch_path
 from strandforge.sources import alignments, fasta, genes
@@ -117,6 +119,38 @@ def test_spacing_follows_the_search(spark, keep_all, min_gap):
         assert plain_spacing([0, 1, 2, 4, 6, 8], 4) == [0, 1, 2, 4]
 
 
+@pytest.mark.parametrize("keep_all,min_gap,n", [(False, 1, 4), (True, 3, 4), (False, 40, 30), (True, 1, 1)])
+def test_spacing_on_bitmaps_follows_the_search(spark, keep_all, min_gap, n):
+    rng = random.Random(2)
+    cases = [[0], [-40_000, -1, 0, 1, 32_768, 32_769, 70_000], list(range(-20, 40)), [5, 5_000_000_000]]
+    cases += [sorted(rng.sample(range(rng.choice([0, -90_000]), rng.choice([12, 60, 5000, 200_000])), rng.randint(1, 12))) for _ in range(100)]
+    cases += [sorted(rng.sample(range(100_000), 3000))]
+    rows = [(f"g{i}", p) for i, ps in enumerate(cases) for p in ps + ps[:2]] + [("none", None)]
+    df = spark.createDataFrame(rng.sample(rows, len(rows)), "gene STRING, pos BIGINT")
+    got = {r.gene: r.picks for r in selected_arrays(df, "gene", "pos", n, min_gap, keep_all).collect()}
+    want = {f"g{i}": plain_spacing(p, n, min_gap, keep_all) if keep_all or len(p) > n else p for i, p in enumerate(cases)}
+    assert got == want
+    assert spaced_selection(df, "gene", "pos", n, min_gap, keep_all).count() == sum(
+        sum(q in want[g] for q in [p]) for g, p in rows if p is not None)
+
+
+def test_ten_million_positions_of_one_gene(spark):
+    df = spark.range(0, 40_000_000, 4).select(F.lit("g").alias("gene"), (F.col("id") + F.col("id") % 3).alias("pos"))
+    picks = selected_arrays(df, "gene", "pos", 100).first().picks
+    assert len(picks) == 100 and min(b - a for a, b in zip(picks, picks[1:])) >= 404_030
+    p = np.arange(4, 40_000_000, 4)
+    p += p % 3
+    numbers = np.unique((p - 1) // BUCKET + 1)
+    bits = np.zeros((len(numbers), BUCKET), np.uint8)
+    bits[np.searchsorted(numbers, (p - 1) // BUCKET + 1), (p - 1) % BUCKET] = 1
+    held = _Bits(numbers.tolist(), [m.tobytes() for m in np.packbits(bits, axis=1, bitorder="little")])
+    assert held.size == len(p) and sum(map(len, held.bitmaps)) < 6_000_000
+    tracemalloc.start()
+    held.spaced(100, 1, False)
+    assert tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
+
+
 def test_brute_force_has_at_most_the_cap_and_genomic_places(spark):
     rng = random.Random(3)
     df = spark.createDataFrame([("A", dna(rng, 3000, "ACGTGC"), 1000, 4000, 1), ("B", dna(rng, 2000, "ACGTGC"), 500, 2500, -1)],

@@ -167,6 +167,20 @@ def variants_along(spark, sf_dir) -> DataFrame:
             .drop("kind"))
 
 
+def variants_apart(spark, sf_dir) -> DataFrame:
+    """The same variants without the text, which is not copied to any of them: letters are cut while the places are listed."""
+    place = """transform(sequence(0L, CAST(ceil((n - 1) / %d) AS BIGINT)), i -> named_struct('i', i, 'kind', (doc_id + i) %% 4, 's', least(1 + i * %d, n),
+        'e', least(n, least(1 + i * %d, n) + CASE (doc_id + i) %% 4 WHEN 1 THEN 2 WHEN 3 THEN 1 ELSE 0 END)))""" % (ALONG, ALONG, ALONG)
+    cut = """transform(places, p -> named_struct('i', p.i, 'kind', p.kind, 's', p.s, 'e', p.e,
+        'ref', CASE WHEN p.kind = 2 THEN '-' ELSE substring(seq, CAST(p.s AS INT), CAST(p.e - p.s + 1 AS INT)) END,
+        'two', CASE WHEN p.kind = 2 THEN substring(seq, CAST(greatest(p.s - 1, 1) AS INT), 2) END))"""
+    return (transcripts(spark, sf_dir).withColumn("n", F.length("seq").cast("bigint")).filter("n > 0")
+            .selectExpr("doc_id", "gene", "seq", f"{place} AS places").selectExpr("doc_id", "gene", f"explode({cut}) AS p")
+            .selectExpr("doc_id * 1000000 + p.i AS doc_id", "gene", "p.s AS v_start", "p.e AS v_end",
+                        "CASE WHEN (doc_id + p.i) % 3 = 0 THEN -1 ELSE 1 END AS strand", "p.ref AS ref",
+                        "CASE p.kind WHEN 3 THEN '-' WHEN 2 THEN p.two ELSE translate(p.ref, 'ACGT', 'TGCA') END AS alt"))
+
+
 cte("variants_along", f"""SELECT doc_id, gene, seq, v_start, v_end, strand, ref,
     CASE kind WHEN 3 THEN '-' WHEN 2 THEN substr(seq, greatest(v_start - 1, 1), 2) ELSE translate(ref, 'ACGT', 'TGCA') END AS alt
   FROM (SELECT *, CASE WHEN kind = 2 THEN '-' ELSE substr(seq, v_start, v_end - v_start + 1) END AS ref

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from strandforge.functions.sequence import flip_position, mutate
 from strandforge.operators import variants as vr
 
-from .inputs import sql_revcomp, sql_tm_of, tiles, transcripts, variants, variants_along
+from .inputs import sql_revcomp, sql_tm_of, tiles, transcripts, variants, variants_along, variants_apart
 from .registry import cte, query, sql_of, using
 
 
@@ -162,12 +162,12 @@ def _(spark, sf_dir):
 
 @query("variant_junctions_along", using("junction_points_along", "SELECT doc_id AS variant_no, * EXCLUDE (doc_id) FROM junction_points_along"))
 def _(spark, sf_dir):
-    j = vr.junctions(variants_along(spark, sf_dir))
+    j = vr.junctions(variants_apart(spark, sf_dir), regions=transcripts(spark, sf_dir))
     return numbered(j.select("doc_id", "kind", "strand", "allele", "target", "pos5", "pos3", "g_pos5", "g_pos3", "edit_kind", "edit_offset"))
 
 
 def grid_along(spark, sf_dir):
-    return vr.arm_grid(vr.junctions(variants_along(spark, sf_dir)))
+    return vr.arm_grid(vr.junctions(variants_apart(spark, sf_dir), regions=transcripts(spark, sf_dir)))
 
 
 # all pairs are made and weighed; they come out as figures per point, a hundred times fewer rows
@@ -189,7 +189,7 @@ def _(spark, sf_dir):
 @query("allele_sites_along", using("allele_arms_along", f"""SELECT doc_id AS variant_no, allele, strand, plp_left, plp_right, plp_left || plp_right AS plp_bds, coding_seq,
     round({sql_tm_of('read_l')}, 6) AS plp_tm_left, round({sql_tm_of('read_r')}, 6) AS plp_tm_right, round({sql_tm_of('(plp_left || plp_right)')}, 6) AS plp_tm FROM allele_arms_along"""))
 def _(spark, sf_dir):
-    a = vr.allele_sites(variants_along(spark, sf_dir))
+    a = vr.allele_sites(variants_apart(spark, sf_dir), regions=transcripts(spark, sf_dir))
     return numbered(a.select("doc_id", "allele", "strand", "plp_left", "plp_right", "plp_bds", "coding_seq",
                              *[F.round(c, 6).alias(c) for c in ("plp_tm_left", "plp_tm_right", "plp_tm")]))
 
@@ -197,7 +197,7 @@ def _(spark, sf_dir):
 @query("arm_balance_along", using("balance_along variants_along", """SELECT v.doc_id AS variant_no, CAST(left_len AS INTEGER) AS left_len, CAST(right_len AS INTEGER) AS right_len,
     round(tm_left, 6) AS tm_left, round(tm_right, 6) AS tm_right FROM variants_along v LEFT JOIN (SELECT * FROM balance_along WHERE n = 1) b USING (doc_id)"""))
 def _(spark, sf_dir):
-    b = vr.arm_balance(variants_along(spark, sf_dir))
+    b = vr.arm_balance(variants_apart(spark, sf_dir), regions=transcripts(spark, sf_dir))
     return numbered(b.select("doc_id", "left_len", "right_len", F.round("tm_left", 6).alias("tm_left"), F.round("tm_right", 6).alias("tm_right")))
 
 

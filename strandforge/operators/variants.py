@@ -10,9 +10,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.sequence import flip_position, mutate, revcomp
 from ..functions.thermo import step_prefix, tm_nn, tm_part
+from .extraction import fetch_regions, genome_chunks
+from .windows import PIECE, cut_pieces
 
 PAD = 50
 ARM_MIN, ARM_MAX, ARM_START = 15, 25, 20
+#: Bases of a variant whose surroundings are read from one piece of its region; longer ones are put together from chunks.
+LONGEST = 512
 
 
 def with_type(variants: DataFrame) -> DataFrame:
@@ -20,22 +24,46 @@ def with_type(variants: DataFrame) -> DataFrame:
                                .when(F.col("v_start") == F.col("v_end"), "SNP").otherwise("MNP"))
 
 
-def with_local(variants: DataFrame, seq: str = "seq", pad: int = PAD) -> DataFrame:
+def _around(variants: DataFrame, out: str, pad: int, seq: str, regions: DataFrame | None, region: str) -> DataFrame:
+    """Adds ``out``, the bases max(1, v_start - pad) .. v_end + pad of the variant's region.
+
+    With ``regions`` (region, seq) a variant meets only the overlapping piece of its region in which these bases start, on (region, piece), so no row carries a
+    region's text; what is longer than the overlap is put together from chunks. Without it the text is the column ``seq`` of the variants.
+    """
+    first = F.greatest(F.col("v_start") - pad, F.lit(1))
+    size = F.col("v_end") + pad - first + 1
+    if regions is None:
+        return variants.withColumn(out, F.col(seq).substr(first.cast("int"), size.cast("int")))
+    overlap = 2 * pad + LONGEST
+    piece = max(PIECE, overlap)
+    texts = regions.select(F.col(region).alias("_region"), F.col(seq).alias("_seq"))
+    pieces = cut_pieces(texts, "_seq", overlap, piece).select("_region", F.col("piece_no").cast("bigint").alias("_piece"), "piece", "piece_start")
+    short = variants.filter(size <= overlap).withColumn("_at", F.floor((first - 1) / piece).cast("bigint"))
+    met = short.join(pieces, (F.col(region) == F.col("_region")) & (F.col("_at") == F.col("_piece")), "left").select(
+        *variants.columns, F.col("piece").substr((first - F.col("piece_start")).cast("int"), size.cast("int")).alias(out))
+    long = variants.filter(size > overlap).select(*variants.columns, F.col(region).alias("_region"), first.alias("_first"), (F.col("v_end") + pad).alias("_last"))
+    asked = long.select(F.col("_region").alias("region"), F.col("_first").alias("start"), F.col("_last").alias("end")).distinct()
+    fetched = fetch_regions(asked, genome_chunks(texts, "_region", "_seq"), out="_text").select(
+        F.col("region").alias("_r"), F.col("start").alias("_s"), F.col("end").alias("_e"), "_text")
+    same = (F.col("_region") == F.col("_r")) & (F.col("_first") == F.col("_s")) & (F.col("_last") == F.col("_e"))
+    return met.unionByName(long.join(fetched, same, "left").select(*variants.columns, F.col("_text").alias(out)))
+
+
+def with_local(variants: DataFrame, seq: str = "seq", pad: int = PAD, regions: DataFrame | None = None, region: str = "gene") -> DataFrame:
     """Adds ``g_start`` and ``local`` (bases g_start .. v_end + pad, from base 1 on) and the local bounds of the variant."""
     first = F.greatest(F.col("v_start") - pad, F.lit(1))
-    return (variants.withColumn("g_start", first)
-            .withColumn("local", F.col(seq).substr(first.cast("int"), (F.col("v_end") + pad - first + 1).cast("int")))
+    return (_around(variants, "local", pad, seq, regions, region).withColumn("g_start", first)
             .withColumn("l_start", F.col("v_start") - first).withColumn("l_end", F.col("v_end") - first))
 
 
-def junctions(variants: DataFrame, seq: str = "seq", pad: int = PAD) -> DataFrame:
+def junctions(variants: DataFrame, seq: str = "seq", pad: int = PAD, regions: DataFrame | None = None, region: str = "gene") -> DataFrame:
     """One row per variant, allele and ligation point.
 
     ``allele`` ref or mut; ``target`` on the strand of the variant; ``pos5`` the last target base of the 5' arm and
     ``pos3`` the first of the 3' arm. Genomic ``g_pos5``/``g_pos3`` count on the reference; points inside new
     bases carry ``edit_kind`` (INS, RPS) and ``edit_offset``. A deletion takes its bases out of the mutated allele.
     """
-    v = with_local(with_type(variants), seq, pad)
+    v = with_local(with_type(variants), seq, pad, regions, region)
     s, e, ins = F.col("l_start"), F.col("l_end"), F.col("kind") == "INS"
     deleted = F.col("kind") == "DEL"
     n_alt = F.length("alt").cast("bigint")
@@ -106,20 +134,21 @@ def _sides(seq: str, allele: str) -> tuple[Column, Column]:
     return F.concat(head, F.when(F.col("alt") == "-", F.lit("")).otherwise(F.col("alt"))), right
 
 
-def flanked(variants: DataFrame, seq: str = "seq", gap: int = PAD) -> DataFrame:
+def flanked(variants: DataFrame, seq: str = "seq", gap: int = PAD, regions: DataFrame | None = None, region: str = "gene") -> DataFrame:
     """Adds ``flank`` (the variant with ``gap`` bases on both sides) and its half-open bounds ``st``, ``en``."""
     first = F.greatest(F.col("v_start") - gap, F.lit(1))
-    return (variants.withColumn("flank", F.col(seq).substr(first.cast("int"), (F.col("v_end") + gap - first + 1).cast("int")))
+    return (_around(variants, "flank", gap, seq, regions, region)
             .withColumn("st", F.col("v_start") - first).withColumn("en", F.col("v_end") - first + 1))
 
 
-def allele_sites(variants: DataFrame, left: int = 20, right: int = 20, seq: str = "seq", gap: int = PAD) -> DataFrame:
+def allele_sites(variants: DataFrame, left: int = 20, right: int = 20, seq: str = "seq", gap: int = PAD, regions: DataFrame | None = None,
+                 region: str = "gene") -> DataFrame:
     """Arms of given lengths on both sides of the junction, for the reference and the changed allele.
 
     Names follow the probe: on strand 1 the probe is the reverse complement, so its left arm binds the
     right side. ``coding_seq`` is the changed sequence on the strand of the variant.
     """
-    v, out = flanked(variants, seq, gap), []
+    v, out = flanked(variants, seq, gap, regions, region), []
     for allele in ("ref", "mut"):
         head, tail = _sides("flank", allele)
         out.append(v.withColumn("allele", F.lit(allele)).withColumn("_l", F.right(head, F.lit(left))).withColumn("_r", F.left(tail, F.lit(right)))
@@ -139,14 +168,14 @@ def allele_sites(variants: DataFrame, left: int = 20, right: int = 20, seq: str
 
 
 def arm_balance(variants: DataFrame, low: float = 45.0, high: float = 65.0, diff: float = 10.0, shortest: int = 10,
-                longest: int = 30, start: int = 20, seq: str = "seq", gap: int = PAD) -> DataFrame:
+                longest: int = 30, start: int = 20, seq: str = "seq", gap: int = PAD, regions: DataFrame | None = None, region: str = "gene") -> DataFrame:
     """Best-balanced arm lengths per variant on the changed allele; null where no pair is within the limits.
 
     All lengths are weighed instead of walking from one to the next, which can go round without end. The choice
     is made inside the row: smallest difference, then closest to ``start``, then shortest.
     """
     head, tail = _sides("flank", "mut")
-    v = flanked(variants, seq, gap).withColumn("_h", head).withColumn("_t", tail)
+    v = flanked(variants, seq, gap, regions, region).withColumn("_h", head).withColumn("_t", tail)
     # running sums on the strand that is read: one pass per side serves every length
     def prefix(c: str) -> Column:
         return F.when(F.col("strand") == -1, step_prefix(c, minus=True)).otherwise(step_prefix(c))

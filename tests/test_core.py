@@ -448,3 +448,25 @@ def test_variant_places_at_region_starts(spark, start):
     v = spark.createDataFrame([(seq, start, start)], "seq STRING, v_start BIGINT, v_end BIGINT")
     r = variants.with_local(v).first()
     assert seq[r.g_start - 1:r.g_start - 1 + len(r.local)] == r.local and r.local[r.l_start] == seq[start - 1]
+
+
+@pytest.mark.parametrize("piece, longest", [(16_384, 512), (120, 4), (300, 40)])
+def test_variants_meet_only_pieces_of_their_regions(spark, monkeypatch, piece, longest):
+    monkeypatch.setattr(variants, "PIECE", piece)
+    monkeypatch.setattr(variants, "LONGEST", longest)
+    rng = random.Random(21)
+    texts = {"a": dna(rng, 5000), "b": dna(rng, 90), "c": "", "d": dna(rng, 1)}
+    rows = [(n, g, p, p + rng.choice([0, 0, 1, 2, 30, 700])) for n, (g, p) in enumerate(
+        (g, p) for g, s in texts.items() for p in sorted({1, 2, 49, 50, 51, 52, len(s) - 1, len(s), len(s) + 3, *rng.choices(range(1, len(s) + 2), k=60)}) if p > 0)]
+    rows.append((len(rows), "nowhere", 5, 5))
+    places = spark.createDataFrame([(n, g, s, e, texts.get(g, "")[s - 1:e] or "A", "T", rng.choice([1, -1])) for n, g, s, e in rows],
+                                   "n INT, gene STRING, v_start BIGINT, v_end BIGINT, ref STRING, alt STRING, strand INT")
+    regions = spark.createDataFrame(list(texts.items()), "gene STRING, seq STRING")
+    carried = places.join(regions, "gene", "left")
+    for form in (variants.with_local, variants.flanked):
+        got = form(places, regions=regions)
+        assert "seq" not in got.columns
+        want = form(carried).select(got.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    got = variants.junctions(places.filter("v_end - v_start < 40"), regions=regions)
+    assert sorted(map(str, got.collect())) == sorted(map(str, variants.junctions(carried.filter("v_end - v_start < 40")).select(got.columns).collect()))

@@ -37,6 +37,8 @@ NUM, DEN = 75, 100
 SKETCH_BITS = 19
 #: Bits that mark documents whose sets are wanted; 2 MB. More marked documents only mean more sets computed.
 MARK_BITS = 24
+#: Rows whose sets a kernel holds at once.
+ROWS = 512
 BLOCK = 1 << 18
 CHUNK = 1 << 14
 
@@ -141,13 +143,17 @@ def _set_of(hashes, rolled, a, b, words) -> np.ndarray:
 # ---------------------------------------------------------------- order of the shingles
 
 
+def _slices(b: pa.RecordBatch):
+    """A batch in parts of few rows, so that a kernel never holds the sets of a whole batch."""
+    return (b.slice(at, ROWS) for at in range(0, b.num_rows, ROWS))
+
+
 def _count_cells(bits: int):
     def kernel(batches):
         cells, mask = np.zeros((2, 1 << bits), np.int64), np.uint64((1 << bits) - 1)
         for b in batches:
-            sets = shingle_sets(utf8(b.column("text")))
-            for at in range(0, len(sets), 512):
-                every = np.concatenate(sets[at:at + 512])
+            for part in _slices(b):
+                every = np.concatenate(shingle_sets(utf8(part.column("text"))))
                 cells[0] += np.bincount((every & mask).astype(np.int64), minlength=1 << bits)
                 cells[1] += np.bincount((every >> np.uint64(32) & mask).astype(np.int64), minlength=1 << bits)
         flat = cells.reshape(-1)
@@ -207,10 +213,11 @@ def _sign(levels):
     def kernel(batches):
         for b in batches:
             rows = []
-            for doc, every in zip(b.column("doc").to_pylist(), shingle_sets(utf8(b.column("text")))):
-                n = len(every)
-                gid = _group_id(n, ordered(every, levels.value)[:prefix_lengths(n)[0]]) if n else 0
-                rows.append((doc, n, gid, *np.frombuffer(xxhash.xxh3_128_digest(every.tobytes()), "<i8").tolist()))
+            for part in _slices(b):
+                for doc, every in zip(part.column("doc").to_pylist(), shingle_sets(utf8(part.column("text")))):
+                    n = len(every)
+                    gid = _group_id(n, ordered(every, levels.value)[:prefix_lengths(n)[0]]) if n else 0
+                    rows.append((doc, n, gid, *np.frombuffer(xxhash.xxh3_128_digest(every.tobytes()), "<i8").tolist()))
             if rows:
                 yield batch(_SIGNED, dict(zip(_SIGNED, zip(*rows))))
     return kernel
@@ -219,32 +226,35 @@ def _sign(levels):
 def _prefixes(levels):
     def kernel(batches):
         for b in batches:
-            seen, tokens, gids, sizes, places = set(), [], [], [], []
-            for every in shingle_sets(utf8(b.column("text"))):
-                n = len(every)
-                if not n:
-                    continue
-                prefix = ordered(every, levels.value)[:prefix_lengths(n)[0]]
-                gid = _group_id(n, prefix)
-                if gid not in seen:
-                    seen.add(gid)
-                    tokens.append(prefix)
-                    gids.append(gid)
-                    sizes.append(n)
-                    places.append(len(prefix))
-            if tokens:
-                many = np.array(places)
-                at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                yield batch(_TOKENS, {"token": np.concatenate(tokens).view(np.int64), "gid": np.repeat(np.array(gids, np.int64), many),
-                                      "n": np.repeat(np.array(sizes, np.int32), many), "pos": at.astype(np.int32)})
+            seen = set()
+            for part in _slices(b):
+                tokens, gids, sizes, places = [], [], [], []
+                for every in shingle_sets(utf8(part.column("text"))):
+                    n = len(every)
+                    if not n:
+                        continue
+                    prefix = ordered(every, levels.value)[:prefix_lengths(n)[0]]
+                    gid = _group_id(n, prefix)
+                    if gid not in seen:
+                        seen.add(gid)
+                        tokens.append(prefix)
+                        gids.append(gid)
+                        sizes.append(n)
+                        places.append(len(prefix))
+                if tokens:
+                    many = np.array(places)
+                    at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                    yield batch(_TOKENS, {"token": np.concatenate(tokens).view(np.int64), "gid": np.repeat(np.array(gids, np.int64), many),
+                                          "n": np.repeat(np.array(sizes, np.int32), many), "pos": at.astype(np.int32)})
     return kernel
 
 
 def _wanted_sets(marks):
     def kernel(batches):
         for b in batches:
-            rows = b.filter(pa.array(marks.value[b.column("mark").to_numpy()]))
-            if rows.num_rows:
+            at = b.column("mark").to_numpy()
+            held = marks.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)
+            for rows in _slices(b.filter(pa.array(held.astype(bool)))):
                 sets = shingle_sets(utf8(rows.column("text")))
                 yield batch({"node": pa.int64(), "shingles": pa.binary()}, {"node": rows.column("doc"), "shingles": [s.tobytes() for s in sets]})
     return kernel
@@ -277,22 +287,27 @@ def _can_link(num: int, den: int):
             & F.when(n < m, inner(n, pos)).when(n > m, inner(m, place)).otherwise(inner(n, pos) & inner(m, place)))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    return cut_lineage(pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
-                       .mapInArrow(_compare(num, den), "a bigint, b bigint"), "links")
-
-
-def mark_bits(nodes: DataFrame, bits: int = MARK_BITS) -> np.ndarray:
-    """A fixed number of bits, of which those of ``nodes`` are set."""
+def mark_words(nodes: DataFrame, bits: int = MARK_BITS) -> np.ndarray:
+    """A fixed number of bits, of which those of ``nodes`` are set, in words of 64."""
     place = F.pmod(F.xxhash64("node"), F.lit(1 << bits))
     rows = (nodes.select(place.alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS INT))")).alias("held")).collect())  # at most 2 ** (bits - 6) rows
     words = np.zeros(1 << (bits - 6), np.uint64)
     for r in rows:
         words[r["word"]] = r["held"] & 0xFFFFFFFFFFFFFFFF
-    return np.unpackbits(words.view(np.uint8), bitorder="little").astype(bool)
+    return words
+
+
+def _verified(pairs: DataFrame, marked: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that reach the threshold. Only the documents of ``pairs`` have their sets made and moved."""
+    words = mark_words(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+    if not words.any():
+        return pairs
+    sets = cut_lineage(marked.mapInArrow(_wanted_sets(pairs.sparkSession.sparkContext.broadcast(words)), "node bigint, shingles binary"), "sets")
+    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
+    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    return cut_lineage(pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
+                       .mapInArrow(_compare(num, den), "a bigint, b bigint"), "links")
 
 
 def _merged(labelled: DataFrame, links: DataFrame) -> DataFrame:
@@ -359,17 +374,14 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     node = classes.select("gid", "node")
     head = classes.groupBy("gid").agg(F.min("node").alias("head")).withColumnRenamed("gid", "other")
     stars = (hubs.join(node, "gid").join(head, "other").filter("node <> head")
-             .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"), "node", "head"))
-    stars = cut_lineage(stars.dropDuplicates(["a", "b"]), "stars")
-    nodes = buckets.select("gid").distinct().join(node, "gid").select("node")
-    marks = spark.sparkContext.broadcast(mark_bits(nodes))
+             .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")))
+    stars = cut_lineage(stars.distinct(), "stars")
     marked = rows.filter("doc IS NOT NULL").withColumn("mark", F.pmod(F.xxhash64("doc"), F.lit(1 << MARK_BITS)))
-    sets = cut_lineage(marked.mapInArrow(_wanted_sets(marks), "node bigint, shingles binary"), "sets")
-    links = _verified(stars.select("a", "b"), sets, num, den)
+    links = _verified(stars, marked, num, den)
 
     # a class's label is the smallest class known to be connected with it; what stays open are pairs of a bucket with different labels
     labelled = _merged(node.withColumn("label", F.col("node")), links.unionByName(_same_ids(signed, classes)))
-    tried, before, turn = stars.select("a", "b"), None, 2
+    tried, before, turn = stars, None, 2
     while True:
         rest = buckets.select("token", "gid", "n", "pos").join(labelled, "gid")
         open_ = rest.withColumns({"low": F.min("label").over(per), "high": F.max("label").over(per)}).filter("low <> high").drop("low", "high")
@@ -380,7 +392,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
             break
         before, turn = pairs_open, turn + 2
         pairs = cut_lineage(_hub_pairs(open_, (turn, turn + 1), num, den).join(tried, ["a", "b"], "left_anti"), "pairs")
-        labelled = _merged(labelled, _verified(pairs, sets, num, den))
+        labelled = _merged(labelled, _verified(pairs, marked, num, den))
         tried = tried.unionByName(pairs)
 
     left = open_.select("token", "gid", "n", "pos", F.col("node").alias("a"), F.col("label").alias("la"))
@@ -388,7 +400,8 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     pairs = (left.join(right, "token").filter((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")))
              .filter((F.col("gid") == F.col("other")) | _can_link(num, den)).select("a", "b").distinct()
              .join(tried, ["a", "b"], "left_anti"))
-    labelled = _merged(labelled, _verified(pairs, sets, num, den))
+    pairs = cut_lineage(pairs, "pairs")
+    labelled = _merged(labelled, _verified(pairs, marked, num, den))
 
     # classes of different texts may share a doc_id, and with it a node
     found = labelled.groupBy("node").agg(F.min("label").alias("component"))

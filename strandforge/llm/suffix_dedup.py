@@ -5,7 +5,7 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier:
 1. Equal texts are one text, owned by its smallest doc_id; the other copies are repeated as a whole.
 2. Anchors: of every window of ``LENGTH`` bytes the gram of ``GRAM`` bytes with the smallest hash. Equal windows have equal anchors, so a window can
    repeat only if its anchor does. Only around repeated anchors a context is cut that holds all windows over that anchor.
-3. Contexts go to shards by their anchor; equal contexts are one. In each shard the Burrows-Wheeler transform of its contexts is kept as
+3. Contexts go to shards by their anchor; equal contexts are one. A shard indexes a few anchors at a time: their Burrows-Wheeler transform is kept as
    runs with the text places sampled at run ends. From these samples alone, every place streams its statistics: the lexicographic
    neighbour it matches longest (phi) and the length of that match, which is compared once per run and falls by one per byte within it.
    Places that match for at least ``LENGTH`` bytes are chained into classes; all but the first of a class are marked.
@@ -31,8 +31,10 @@ from .common import struct_field
 from .jaccard import _powers, mix
 
 LENGTH, GRAM = 100, 32
-#: Bytes that are hashed at once; contexts per shard; distinct contexts of an anchor that a shard takes.
-CHUNK, SHARD, HOT = 1 << 19, 8192, 8192
+#: Bytes that are hashed at once; contexts per shard and per index in it; distinct contexts of an anchor that a shard takes.
+CHUNK, SHARD, PART, HOT = 1 << 19, 8192, 2048, 8192
+#: Rows of a batch that a kernel hands on.
+ROWS = 1 << 13
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
@@ -59,7 +61,8 @@ def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
         part = whole[at:at + CHUNK + length - 1]
         h = gram_hashes(part, gram)
         least = _sliding_min((h & ~mask) | np.arange(len(h), dtype=np.uint64), length - gram + 1)
-        own = np.unique((least & mask).astype(np.int64))
+        own = (least & mask).astype(np.int64)  # never falls from window to window
+        own = own[np.diff(own, prepend=-1) != 0]
         hashes.append(h[own])
         places.append(own + at)
     if not hashes:
@@ -68,35 +71,57 @@ def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
     return np.concatenate(hashes)[first].view(np.int64), places
 
 
+def _gathered(parts, schema: pa.Schema):
+    """Columns of many small parts as batches of some ten thousand rows."""
+    held, rows = [], 0
+    for part in parts:
+        held.append(part)
+        rows += len(part[0])
+        if rows >= ROWS:
+            yield _joined(held, schema)
+            held, rows = [], 0
+    if rows:
+        yield _joined(held, schema)
+
+
+def _joined(held: list, schema: pa.Schema) -> pa.RecordBatch:
+    columns = ([x for part in c for x in part] if isinstance(c[0], list) else np.concatenate(c) for c in zip(*held))
+    return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
 def _anchor_rows(batches):
-    for b in batches:
-        for doc, tie, data in zip(b.column("doc").to_pylist(), b.column("tie").to_pylist(), b.column("data").to_pylist()):
-            hashes, places = anchors(data)
-            yield pa.record_batch([pa.array(hashes), pa.array(np.full(len(hashes), doc)), pa.array(np.full(len(hashes), tie)), pa.array(places)],
-                                  names=["anchor", "doc", "tie", "place"])
+    schema = pa.schema([(name, pa.int64()) for name in ("anchor", "doc", "tie", "place")])
+
+    def parts():
+        for b in batches:
+            for doc, tie, data in zip(b.column("doc").to_pylist(), b.column("tie").to_pylist(), b.column("data").to_pylist()):
+                hashes, places = anchors(data)
+                yield hashes, np.full(len(hashes), doc), np.full(len(hashes), tie), places
+    return _gathered(parts(), schema)
 
 
 def _contexts(batches):
     schema = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("digest", pa.binary()), ("context", pa.binary())])
-    for b in batches:
-        for r in b.to_pylist():
-            data, rows = r["data"], []
-            for hit in r["hits"]:
-                a = max(0, hit["place"] - (LENGTH - GRAM))
-                context = data[a:hit["place"] + LENGTH]
-                rows.append((hit["anchor"], r["doc"], r["tie"], a, xxhash.xxh3_128_digest(context), context))
-                if len(rows) == 4096:
-                    yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-                    rows = []
-            if rows:
-                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    def parts():
+        for b in batches:
+            hits = b.column("hits")
+            edges, every = hits.offsets.to_numpy(), hits.values
+            anchor, place = every.field("anchor").to_numpy(), every.field("place").to_numpy()
+            for i, (doc, tie, data) in enumerate(zip(b.column("doc").to_pylist(), b.column("tie").to_pylist(), b.column("data").to_pylist())):
+                for at in range(edges[i], edges[i + 1], ROWS):
+                    own = slice(at, min(at + ROWS, edges[i + 1]))
+                    starts = np.maximum(place[own] - (LENGTH - GRAM), 0)
+                    cut = [data[a:z] for a, z in zip(starts.tolist(), (place[own] + LENGTH).tolist())]
+                    yield anchor[own], np.full(len(cut), doc), np.full(len(cut), tie), starts, [xxhash.xxh3_128_digest(c) for c in cut], cut
+    return _gathered(parts(), schema)
 
 
 class RunIndex:
     """Runs of the Burrows-Wheeler transform of some texts, each ended by its own separator, with the places sampled at run ends."""
 
     def __init__(self, texts: list[bytes]):
-        sizes = np.array([len(t) for t in texts], np.int64)
+        self.sizes = sizes = np.array([len(t) for t in texts], np.int64)
         self.text = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
         self.ends = np.cumsum(sizes + 1) - 1
         n = len(self.text)
@@ -119,18 +144,24 @@ class RunIndex:
     def _sorted(symbols: np.ndarray, longest: int) -> np.ndarray:
         """Suffixes in order, by doubling; equal up to the separator, they are ordered by place, as separators are."""
         n, width, rank = len(symbols), 1, symbols
+        bits, place = max(9, (n + 2).bit_length()), np.arange(n)
         closed = symbols == 0  # the ranked prefix holds a separator, so nothing beyond it counts
         while True:
             ahead = np.zeros(n, np.int64)
             ahead[:n - width] = rank[width:] + 1
             ahead[closed] = 0
-            key = rank * (max(n, 256) + 3) + ahead
-            order = np.argsort(key, kind="stable")
+            if 3 * bits < 64:  # rank, the rank ahead and the place are one number, which sorts faster than an order of numbers
+                key = np.sort(rank << 2 * bits | ahead << bits | place)
+                order, key = key & ((1 << bits) - 1), key >> bits
+            else:
+                key = rank * (n + 3) + ahead
+                order = np.argsort(key, kind="stable")
+                key = key[order]
             width *= 2
             if width >= longest:
                 return order
             rank = np.empty(n, np.int64)
-            rank[order] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
+            rank[order] = np.concatenate([[0], np.cumsum(np.diff(key) != 0)])
             half = closed.copy()
             half[:n - width // 2] |= closed[width // 2:]
             closed = half
@@ -164,9 +195,11 @@ def marked(texts: list[bytes], order: list[np.ndarray], length: int = LENGTH) ->
     root = np.where(linked, above, np.arange(len(above)))
     while not np.array_equal(nxt := root[root], root):
         root = nxt
-    held = np.nonzero(linked | np.isin(np.arange(len(above)), root[linked]))[0]
+    member = linked.copy()
+    member[root[linked]] = True
+    held = np.nonzero(member)[0]
     own = index.owner[held]
-    first = index.ends[own] - np.array([len(t) for t in texts], np.int64)[own]
+    first = index.ends[own] - index.sizes[own]
     keys = [k[own] for k in order]
     keys[-1] = keys[-1] + held - first
     turn = np.lexsort([*keys[::-1], root[held]])
@@ -181,25 +214,33 @@ def marked(texts: list[bytes], order: list[np.ndarray], length: int = LENGTH) ->
     return out, index
 
 
-def _ranges(places: np.ndarray, length: int) -> tuple[list[int], list[int]]:
-    """The union of [p, p + length) over sorted places."""
-    if not len(places):
-        return [], []
-    cut = np.nonzero(np.diff(places) > length)[0]
-    return places[np.concatenate([[0], cut + 1])].tolist(), (places[np.concatenate([cut, [len(places) - 1]])] + length).tolist()
+def _parts(anchor: np.ndarray):
+    """Sorted anchors in slices of about ``PART`` rows; an anchor is never cut."""
+    edges = np.append(np.flatnonzero(np.diff(anchor, prepend=anchor[:1] - 1)), len(anchor))
+    at = 0
+    while at < len(anchor):
+        end = edges[np.searchsorted(edges, at + PART, side="right") - 1]
+        end = end if end > at else edges[np.searchsorted(edges, at, side="right")]
+        yield slice(at, end)
+        at = end
 
 
 def _shard(rows: pd.DataFrame) -> pd.DataFrame:
-    texts = rows["context"].tolist()
-    gone, index = marked(texts, [rows[c].to_numpy() for c in ("doc", "tie", "start")])
-    out, places = [], np.nonzero(gone)[0]
-    cuts = np.searchsorted(places, np.concatenate([[0], index.ends + 1]))
-    for i in np.unique(index.owner[places]):
-        first = index.ends[i] - len(texts[i])
-        a, z = _ranges(places[cuts[i]:cuts[i + 1]] - first, LENGTH)
-        doc, tie, start = (int(rows[c].iloc[i]) for c in ("doc", "tie", "start"))
-        out += [(doc, tie, start + s, start + e) for s, e in zip(a, z)]
-    return pd.DataFrame(out, columns=["doc", "tie", "a", "z"])
+    """Marked ranges of the contexts of a shard; a context that is alone with its anchor matches only itself."""
+    rows = rows[rows.duplicated("anchor", keep=False)].sort_values("anchor", kind="stable")
+    out = []
+    for part in _parts(rows["anchor"].to_numpy()):
+        order = [rows[c].to_numpy()[part] for c in ("doc", "tie", "start")]
+        gone, index = marked(rows["context"].iloc[part].tolist(), order)
+        places = np.nonzero(gone)[0]
+        if not len(places):
+            continue
+        own = index.owner[places]
+        begin = order[2][own] + places - (index.ends - index.sizes)[own]
+        head = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (np.diff(begin) > LENGTH)]))
+        last = np.append(head[1:], len(places)) - 1
+        out.append(pd.DataFrame({"doc": order[0][own[head]], "tie": order[1][own[head]], "a": begin[head], "z": begin[last] + LENGTH}))
+    return pd.concat(out) if out else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("doc", "tie", "a", "z")})
 
 
 def _windows(batches):
@@ -226,17 +267,16 @@ def repeated_ranges(owners: DataFrame) -> DataFrame:
     whole = (contexts.select("digest", "doc", "tie", "start", F.length("context").alias("n")).filter(F.col("n") >= LENGTH)
              .join(one.select("digest", *[F.col(c).alias(f"first_{c}") for c in ("doc", "tie", "start")]), "digest")
              .filter("doc <> first_doc OR tie <> first_tie OR start <> first_start").select("doc", "tie", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("z")))
-    # a context that is alone with its anchor matches only itself, and its further copies are in ``whole``
-    crowd = cut_lineage(one.groupBy("anchor").count().filter("count > 1"), "crowd")
-    both = cut_lineage(one.join(crowd, "anchor"), "members")
-    shards = max(1, -(-both.count() // SHARD))
-    settled = (both.filter(F.col("count") <= HOT).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+    # further copies of a context are in ``whole``; anchors with too many contexts for a shard are at most one in ``HOT`` contexts
+    hot = cut_lineage(one.groupBy("anchor").count().filter(F.col("count") > HOT).select("anchor"), "hot")
+    shards = max(1, -(-one.count() // SHARD))
+    settled = (one.join(hot, "anchor", "left_anti").select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "anchor", "doc", "tie", "start", "context")
                .groupBy("shard").applyInPandas(_shard, "doc bigint, tie bigint, a bigint, z bigint"))
-    windows = both.filter(F.col("count") > HOT).select("doc", "tie", "start", "context").mapInArrow(_windows, "window binary, doc bigint, tie bigint, a bigint")
+    windows = one.join(hot, "anchor").select("doc", "tie", "start", "context").mapInArrow(_windows, "window binary, doc bigint, tie bigint, a bigint")
     lead = windows.groupBy("window").agg(F.min(F.struct("doc", "tie", "a")).alias("lead"))
-    hot = (windows.join(lead, "window").filter("doc <> lead.doc OR tie <> lead.tie OR a <> lead.a")
+    crowded = (windows.join(lead, "window").filter("doc <> lead.doc OR tie <> lead.tie OR a <> lead.a")
            .select("doc", "tie", "a", (F.col("a") + LENGTH).alias("z")))
-    return settled.unionByName(hot).unionByName(whole)
+    return settled.unionByName(crowded).unionByName(whole)
 
 
 def _cut(text_name: str):
@@ -267,11 +307,13 @@ def dedup_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
     digest = F.unhex(F.md5(data)).alias("digest")
     plain = docs.select(doc, digest, F.xxhash64(data).alias("tie"), data.alias("data"))
-    first = cut_lineage(plain.groupBy("digest").agg(F.min("doc").alias("first")), "digests")
+    named = plain.groupBy("digest", "doc").agg(F.count("*").alias("rows")).groupBy("digest").agg(F.min(F.struct("doc", "rows")).alias("low"))
+    first = cut_lineage(named.select("digest", F.col("low.doc").alias("first"), (F.col("low.rows") > 1).alias("again")), "digests")
     long = plain.filter(F.length("data") >= LENGTH).join(first, "digest").filter("doc = first")
-    owners = cut_lineage(long.dropDuplicates(["doc", "digest"]).select("doc", "tie", "data"), "owners")
+    # only rows that repeat a doc_id and its text, too, have to meet
+    owners = cut_lineage(long.filter("NOT again").unionByName(long.filter("again").dropDuplicates(["doc", "digest"])).select("doc", "tie", "data"), "owners")
     cuts = repeated_ranges(owners).groupBy("doc", "tie").agg(F.collect_set(F.struct("a", "z")).alias("cuts")).withColumn("owner", F.lit(True))
-    copies = (plain.select("doc", "digest", "tie").join(first, "digest").filter("doc <> first").select("doc", "tie").distinct()
+    copies = (plain.select("doc", "digest", "tie").join(first.drop("again"), "digest").filter("doc <> first").select("doc", "tie").distinct()
               .select("doc", "tie", F.lit(None).cast("array<struct<a:bigint,z:bigint>>").alias("cuts"), F.lit(False).alias("owner")))
     told = cut_lineage(cuts.unionByName(copies), "cuts").withColumnsRenamed({"doc": "told_doc", "tie": "told_tie"})
     inner = docs.select(F.struct("*").alias("row"), doc, F.xxhash64(data).alias("tie"))

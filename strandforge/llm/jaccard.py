@@ -6,7 +6,8 @@ fixed size that covers all documents), rarest first; two sets that reach the thr
 1. Documents with equal sets are one class, known by a 128-bit digest; classes with equal prefix and equal size are one group. Only groups go
    into the buckets of their prefix shingles, so copies cost one row per task and bucket.
 2. In every bucket two hubs (two pseudo-random orders) are paired with all other groups: as many pairs as rows. Size, place and prefix filters
-   apply, then groups expand to their classes and the sets themselves are compared, as integers.
+   apply, then groups expand to their classes. Outlines (bitmaps of the hashes, two to four bits a shingle) bound from above what two sets can share;
+   of the pairs that reach the threshold by that bound the sets themselves are compared, as integers.
 3. Classes that links connect, along whole chains, bear one label. Pairs of a bucket with the same label need no comparison. While many others are
    open, the rows of open buckets meet two further hubs, so a large group of near copies closes round by round and never turns into all of its
    pairs. When hubs close no more, the pairs with different labels that are left are all compared, so no link between components is lost.
@@ -249,14 +250,41 @@ def _prefixes(levels):
     return kernel
 
 
-def _wanted_sets(marks):
+def outline(every: np.ndarray) -> bytes:
+    """Bitmap of a set's hashes modulo a power of two, at least two bits a shingle."""
+    width = max(64, 1 << (2 * len(every) - 1).bit_length())
+    bits = np.zeros(width, bool)
+    bits[(every & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def most_common(x, y, n: int, m: int) -> int:
+    """Shingles that sets of n and m can share at most, by their outlines: a bit that only one of them has is a shingle of its own."""
+    u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    width = min(len(u), len(v))
+    u, v = (np.bitwise_or.reduce(w.reshape(-1, width), axis=0) for w in (u, v))
+    return min(n - int(np.bitwise_count(u & ~v).sum()), m - int(np.bitwise_count(v & ~u).sum()))
+
+
+def _wanted(marks, told):
+    """node, n and ``told(set)`` of the marked documents."""
     def kernel(batches):
         for b in batches:
             at = b.column("mark").to_numpy()
             held = marks.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)
             for rows in _slices(b.filter(pa.array(held.astype(bool)))):
                 sets = shingle_sets(utf8(rows.column("text")))
-                yield batch({"node": pa.int64(), "shingles": pa.binary()}, {"node": rows.column("doc"), "shingles": [s.tobytes() for s in sets]})
+                yield batch({"node": pa.int64(), "n": pa.int64(), "told": pa.binary()},
+                            {"node": rows.column("doc"), "n": [len(s) for s in sets], "told": [told(s) for s in sets]})
+    return kernel
+
+
+def _may_link(num: int, den: int):
+    def kernel(batches):
+        for b in batches:
+            rows = zip(b.column("x"), b.column("y"), b.column("n").to_pylist(), b.column("m").to_pylist())
+            bounds = [(most_common(x.as_buffer(), y.as_buffer(), n, m), n + m) for x, y, n, m in rows]
+            yield b.select(["a", "b"]).filter(pa.array([den * k >= num * (both - k) for k, both in bounds], pa.bool_()))
     return kernel
 
 
@@ -299,15 +327,17 @@ def mark_words(nodes: DataFrame, bits: int = MARK_BITS) -> np.ndarray:
 
 
 def _verified(pairs: DataFrame, marked: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that reach the threshold. Only the documents of ``pairs`` have their sets made and moved."""
-    words = mark_words(pairs.select(F.explode(F.array("a", "b")).alias("node")))
-    if not words.any():
-        return pairs
-    sets = cut_lineage(marked.mapInArrow(_wanted_sets(pairs.sparkSession.sparkContext.broadcast(words)), "node bigint, shingles binary"), "sets")
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    return cut_lineage(pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
-                       .mapInArrow(_compare(num, den), "a bigint, b bigint"), "links")
+    """The pairs (a, b) that reach the threshold. Only documents of pairs that reach it by their outlines have their sets moved."""
+    for told, judge, label in ((outline, _may_link, "near"), (np.ndarray.tobytes, _compare, "links")):
+        words = mark_words(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+        if not words.any():
+            return pairs
+        made = cut_lineage(marked.mapInArrow(_wanted(pairs.sparkSession.sparkContext.broadcast(words), told), "node bigint, n bigint, told binary"), "sets")
+        one = made.select(F.col("node").alias("a"), "n", F.col("told").alias("x"))
+        two = made.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("told").alias("y"))
+        pairs = cut_lineage(pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y", "n", "m")
+                            .mapInArrow(judge(num, den), "a bigint, b bigint"), label)
+    return pairs
 
 
 def _merged(labelled: DataFrame, links: DataFrame) -> DataFrame:
@@ -371,7 +401,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     hubs = buckets.select("gid", "n", "pos", F.explode(F.array("hub1", "hub2")).alias("hub")).select(
         "gid", "n", "pos", F.col("hub.gid").alias("other"), F.col("hub.n").alias("m"), F.col("hub.pos").alias("place"))
     hubs = hubs.filter((F.col("gid") == F.col("other")) | _can_link(num, den)).select("gid", "other").distinct()
-    node = classes.select("gid", "node")
+    node = classes.select("gid", "node").distinct()
     head = classes.groupBy("gid").agg(F.min("node").alias("head")).withColumnRenamed("gid", "other")
     stars = (hubs.join(node, "gid").join(head, "other").filter("node <> head")
              .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")))
@@ -382,8 +412,8 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     # a class's label is the smallest class known to be connected with it; what stays open are pairs of a bucket with different labels
     labelled = _merged(node.withColumn("label", F.col("node")), links.unionByName(_same_ids(signed, classes)))
     tried, before, turn = stars, None, 2
+    rest = buckets.select("token", "gid", "n", "pos").join(labelled, "gid")
     while True:
-        rest = buckets.select("token", "gid", "n", "pos").join(labelled, "gid")
         open_ = rest.withColumns({"low": F.min("label").over(per), "high": F.max("label").over(per)}).filter("low <> high").drop("low", "high")
         open_ = cut_lineage(open_, "open")
         rows_open, pairs_open = _open_pairs(open_)
@@ -394,6 +424,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         pairs = cut_lineage(_hub_pairs(open_, (turn, turn + 1), num, den).join(tried, ["a", "b"], "left_anti"), "pairs")
         labelled = _merged(labelled, _verified(pairs, marked, num, den))
         tried = tried.unionByName(pairs)
+        rest = open_.drop("label").join(labelled, ["gid", "node"])  # labels only merge, so a closed bucket stays closed
 
     left = open_.select("token", "gid", "n", "pos", F.col("node").alias("a"), F.col("label").alias("la"))
     right = open_.select("token", F.col("gid").alias("other"), F.col("n").alias("m"), F.col("pos").alias("place"), F.col("node").alias("b"), F.col("label").alias("lb"))

@@ -374,6 +374,19 @@ def test_jaccard_hostile(spark):
     assert kept == {c for _, c in brute_components(rows).values()}
 
 
+def test_outlines_bound_what_sets_share():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        pool = rng.integers(0, 1 << 64, 400, dtype=np.uint64)
+        x, y = (np.unique(rng.choice(pool, rng.integers(1, 400))) for _ in range(2))
+        common = len(np.intersect1d(x, y))
+        bound = jaccard.most_common(jaccard.outline(x), jaccard.outline(y), len(x), len(y))
+        assert common <= bound <= min(len(x), len(y))
+    apart = [np.unique(rng.integers(0, 1 << 64, 1000, dtype=np.uint64)) for _ in range(2)]
+    assert jaccard.most_common(*map(jaccard.outline, apart), 1000, 1000) < 600
+    assert jaccard.most_common(jaccard.outline(x), jaccard.outline(x), len(x), len(x)) == len(x)
+
+
 # 9
 
 def test_warc_hostile(spark):

@@ -3,7 +3,8 @@
 The fixed patterns give the base spans. The field looks at every stretch of text around a digit, an at sign or a bracketed "at", cuts it into
 tokens and scores whole candidate segments of at most ``LONGEST`` tokens by features of the span: shape, digit groups, check sums, ends and
 neighbours. Dynamic programming over the stretch chooses boundaries and types jointly (a token outside all segments scores 0). A
-chosen segment is added where its posterior reaches ``SURE`` and it meets no base span; base spans always stay.
+chosen segment is added where its posterior reaches ``SURE`` and it meets no base span; base spans always stay. A long stretch is judged in overlapping
+pieces, so a segment of up to ``OVERLAP`` characters is seen whole wherever it lies.
 
 The field is trained on a bounded sample of stretches that hold base spans, together with rewritten copies of them (spelt-out signs, other
 separators), by conditional likelihood. Its weights, a few thousand numbers, are broadcast.
@@ -28,8 +29,8 @@ KINDS = ["email", "ip", "card", "phone"]
 #: Documents that are trained on and the longest among them; stretches taken from them; rounds; step.
 SAMPLE, SAMPLE_CHARS, STRETCHES, ROUNDS, STEP = 400, 20_000, 500, 6, 0.5
 LONGEST, AROUND, SURE = 14, 24, 0.95
-#: Longest stretch in characters; a longer one is cut, and no segment crosses a cut.
-STRETCH = 2000
+#: A longer stretch is judged in pieces that answer for the segments starting in so many characters, and see so many more at both ends.
+STRETCH, OVERLAP = 2000, 250
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*+")
@@ -79,14 +80,20 @@ def stretches(text: str) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for m in _SEED.finditer(text):
         a, z = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
-        if out and a <= out[-1][1] and z - out[-1][0] <= STRETCH:
+        if out and a <= out[-1][1]:
             out[-1][1] = z
         else:
-            a = max(a, out[-1][1] if out else 0)
-            out += [[x, min(z, x + STRETCH)] for x in range(a, z, STRETCH)]
+            out.append([a, z])
     return [(a, z) for a, z in out]
 
 
+def pieces(text: str):
+    """(from, to, first, last): what a piece sees of a stretch, and where the segments start that it answers for."""
+    for a, z in stretches(text):
+        for x in range(a, z, STRETCH):
+            yield max(a, x - OVERLAP), min(z, x + STRETCH + OVERLAP), x, min(z, x + STRETCH)
+
+
 def _class(c: str) -> str:
     return "0" if c.isdigit() else "a" if c.isalpha() else "_" if c.isspace() else c
 
@@ -174,7 +181,7 @@ class Field:
         out: list[Span] = []
         if not self.known:
             return out
-        for a, z in stretches(text):
+        for a, z, first, last in pieces(text):
             if not any(c not in " \t\n" for c in text[a:z]):
                 continue
             lattice = Lattice(text, a, z, self.known)
@@ -188,6 +195,8 @@ class Field:
             for k, kind in best:
                 i, j = lattice.segments[k]
                 s, e = lattice.tokens[i][0], lattice.tokens[j - 1][1]
+                if not first <= s < last or (out and s < out[-1][1]):
+                    continue
                 if sure[k, kind] >= SURE and not any(s < y and x < e for x, y, _ in base):
                     out.append((s, e, kind))
         return out
@@ -220,7 +229,7 @@ def fit(texts: list[str], rounds: int = ROUNDS, most: int = STRETCHES) -> Field:
         if len(held) >= most:
             break
         for cut, spans in _rewritten(text, base_spans(text)) if base_spans(text) else ():
-            for a, z in stretches(cut):
+            for a, z, _, _ in pieces(cut):
                 lattice = Lattice(cut, a, z, known, learn=True)
                 place = {(lattice.tokens[i][0], lattice.tokens[j - 1][1]): k for k, (i, j) in enumerate(lattice.segments)}
                 gold = [(place.get((s, e)), k) for s, e, k in spans if a <= s and e <= z]

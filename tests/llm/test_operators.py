@@ -140,6 +140,18 @@ def test_base_spans():
         assert pii.base_spans(t) == plain_spans(t), t
 
 
+def test_pii_long_stretches():
+    """A number is found wherever it lies in a stretch that is cut."""
+    known = {f: i + 1 for i, f in enumerate(("bias", "groups3-3-4", "first0", "last0"))}
+    weights = np.zeros((4, 5))
+    weights[:, 1], weights[3, 2:] = -45, (40, 10, 10)
+    field, filler, number = pii.Field(known, weights), "7 ab " * 600, " 425-555-9610 "
+    for at in [0, *range(pii.STRETCH - 30, pii.STRETCH + 15, 3), pii.STRETCH + 245]:
+        text = filler[:at] + number + filler[at:]
+        assert field.added(text, []) == [(at + 1, at + 13, 3)], at
+    assert field.added(filler, []) == []
+
+
 def test_pii_hostile(spark):
     rows = HOSTILE + [(100 + i, t) for i, t in enumerate(ODD)] + [(200 + i, f"{words(5, i)} +1 (425) 555-96{10 + i} {words(5, i + 50)} {i}@mail.example.com") for i in range(40)]
     docs = documents(spark, True, rows)

@@ -181,9 +181,9 @@ def _(spark, sf_dir):
 @query("dedup_sites", using("isoforms starts", """SELECT gene, p AS genomic_start, p + 40 AS genomic_end, arg_min(tx_id, tx_no) AS tx_id FROM starts s JOIN isoforms i USING (gene)
   WHERE s.p >= i.lo AND s.p + 40 <= i.hi GROUP BY 1, 2, 3"""))
 def _(spark, sf_dir):
-    w = iso.windows_isoform(isoforms(spark, sf_dir)).select("gene", F.col("pos").alias("genomic_start"), F.col("pos_end").alias("genomic_end"),
-                                                            F.col("tx_order").alias("_ord"), "tx_id")
-    return iso.first_strand(w)
+    w = iso.windows_isoform(isoforms(spark, sf_dir), ranges=True).select("gene", F.col("pos").alias("genomic_start"), F.col("pos_last").alias("genomic_last"),
+                                                                         F.col("tx_order").alias("_ord"), "tx_id")
+    return iso.window_places(iso.first_strand(w)).select("gene", "genomic_start", "genomic_end", "tx_id")
 
 
 cte("sites30", "SELECT s.* FROM passed s JOIN passed30_picked k ON k.k = s.doc_id AND k.pos = s.pos", "passed", "passed30_picked")

@@ -12,7 +12,7 @@ from ..functions.sequence import revcomp
 from .filters import Thresholds, passing
 from .ranking import first_per
 from .spacing import selected_arrays
-from .windows import rolling_windows, windows_at, windows_between, windows_bruteforce, with_metrics
+from .windows import PIECE, rolling_windows, windows_at, windows_between, windows_bruteforce, with_metrics
 
 BIN = 512          # about an exon: few fragments share a bin, long exons take several
 
@@ -96,9 +96,15 @@ def merge_adjacent(intervals: DataFrame, keys: list[str], s: str = "s", e: str =
             .groupBy(*keys, "_island").agg(F.min(s).alias(s), F.max(e).alias(e)).drop("_island"))
 
 
-def windows_isoform(isoforms: DataFrame, length: int = 40) -> DataFrame:
-    """Every genomic start of every isoform with ``start + length <= end``, and the window end."""
-    return (isoforms.filter(F.col("end") - F.col("start") >= length)
+def windows_isoform(isoforms: DataFrame, length: int = 40, ranges: bool = False) -> DataFrame:
+    """Every genomic start of every isoform with ``start + length <= end``, and the window end.
+
+    As ``ranges`` there is one row per isoform, from its first start ``pos`` to its last, ``pos_last``.
+    """
+    long = isoforms.filter(F.col("end") - F.col("start") >= length)
+    if ranges:
+        return long.withColumn("pos", F.col("start")).withColumn("pos_last", F.col("end") - length)
+    return (long
             .withColumn("pos", F.explode(F.sequence(F.col("start"), F.col("end") - length)))
             .withColumn("pos_end", window_end("pos", length)))
 
@@ -173,7 +179,7 @@ def _passing_starts(spans: DataFrame, t: Thresholds) -> DataFrame:
     """(gene, strand, pos, bin) of the windows of each span within the limits; ``pos`` is genomic (1-based locus)."""
     # starts run from g_start to g_end - length, one place further on the turned span
     back = (F.col("strand") == -1).cast("int")
-    w = windows_between(spans, ["gene", "strand", "g_start", "g_end"], F.lit(0) + back, F.col("seq_len") - t.length + back, t.length)
+    w = windows_between(spans, ["gene", "strand", "g_start", "g_end"], F.lit(0) + back, F.col("seq_len") - t.length + back, t.length, limits=t)
     pos = F.when(F.col("strand") == -1, _flip(F.col("pos"), t.length)).otherwise(F.col("g_start") + F.col("pos"))
     return passing(w, t).select("gene", "strand", pos.alias("pos")).withColumn("bin", F.floor(F.col("pos") / BIN))
 
@@ -232,10 +238,37 @@ def consensus_sites(loci: DataFrame, isoforms: DataFrame, splices: DataFrame, t:
 
 
 def first_strand(sites: DataFrame) -> DataFrame:
-    """One row per place: that of the isoform that comes first."""
+    """One row per place: that of the isoform that comes first.
+
+    Sites with a column ``genomic_last`` are ranges of starts (gene, genomic_start, genomic_last, _ord, tx_id). They are settled between
+    their change points within (gene, bin) and stay ranges, so that no place is shuffled; ``window_places`` lists them.
+    """
+    if "genomic_last" in sites.columns:
+        return _first_ranges(sites)
     return first_per(sites, ["gene", "genomic_start", "genomic_end"], ["_ord"]).drop("_ord")
 
 
+def _first_ranges(sites: DataFrame) -> DataFrame:
+    lo, hi = F.col("genomic_start"), F.col("genomic_last") + 1
+    cut = sites.withColumn("bin", _bins(lo, hi, PIECE)).select(
+        "gene", "bin", F.greatest(lo, F.col("bin") * PIECE).alias("lo"), F.least(hi, (F.col("bin") + 1) * PIECE).alias("hi"), "_ord", "tx_id")
+    # isoforms with the same part of a bin: the first of them speaks for all, so a list has no more rows than there are parts
+    held = (cut.groupBy("gene", "bin", "lo", "hi").agg(F.min(F.struct("_ord", "tx_id")).alias("o")).groupBy("gene", "bin")
+            .agg(F.sort_array(F.collect_list(F.struct("o", "lo", "hi"))).alias("own")))
+    points = F.sort_array(F.array_distinct(F.flatten(F.array(F.transform("own", lambda t: t["lo"]), F.transform("own", lambda t: t["hi"])))))
+    runs = F.zip_with(F.col("p"), F.slice("p", 2, F.size("p")), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    first = F.get(F.filter("own", lambda t: (t["lo"] <= F.col("r.a")) & (t["hi"] >= F.col("r.b"))), F.lit(0))
+    return (held.withColumn("p", points).select("gene", "own", F.explode(runs).alias("r")).filter("r.b IS NOT NULL")
+            .withColumn("f", first).filter("f IS NOT NULL")
+            .select("gene", F.col("r.a").alias("genomic_start"), (F.col("r.b") - 1).alias("genomic_last"), F.col("f.o.tx_id").alias("tx_id")))
+
+
+def window_places(ranges: DataFrame, length: int = 40) -> DataFrame:
+    """Every place of ranges of window starts, with its end."""
+    return (ranges.withColumn("genomic_start", F.explode(F.sequence("genomic_start", "genomic_last"))).drop("genomic_last")
+            .withColumn("genomic_end", window_end("genomic_start", length)))
+
+
 def order_by_coverage(sites: DataFrame) -> DataFrame:
     return sites.orderBy(F.col("isoform_overlap_num").desc(), "genomic_start", "gene")
 

@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .letters import others
 from .sequence import col, fixed_point, gc_content, has_long_repeat
 
 
 def invalid_letters(probe: Column | str) -> Column:
     """Distinct letters outside A, T, C, G, N, sorted."""
-    return F.array_sort(F.array_distinct(F.split(F.regexp_replace(F.upper(col(probe)), "[ATCGN]", ""), "")))
+    return F.split(_invalid(probe), "")
+
+
+def _invalid(probe: Column | str) -> Column:
+    return others("ATCGN")(F.upper(col(probe)))
+
+
+def _said(messages: list[Column]) -> Column:
+    # without a lambda, which would have all of the messages interpreted
+    return F.array_except(F.array(*messages), F.array(F.lit(None).cast("string")))
 
 
 def with_quality(probes: DataFrame, probe: str = "probe") -> DataFrame:
@@ -23,7 +33,6 @@ def with_quality(probes: DataFrame, probe: str = "probe") -> DataFrame:
         F.when(has_long_repeat(p), F.lit("Contains long repeats")),
     ]
     bad = F.upper(p).rlike("[^ATCGN]")
-    errors = F.array_compact(F.array(F.when(bad, F.concat(
-        F.lit("Invalid bases: "), F.concat_ws("", invalid_letters(p))))))
-    return (probes.withColumn("warnings", F.array_compact(F.array(*warnings))).withColumn("errors", errors)
+    errors = _said([F.when(bad, F.concat(F.lit("Invalid bases: "), _invalid(p)))])
+    return (probes.withColumn("warnings", _said(warnings)).withColumn("errors", errors)
             .withColumn("is_valid", F.size("errors") == 0))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from . import letters
+
 
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -78,38 +80,19 @@ def hamming(a: Column | str, b: Column | str, ignore_case: bool = False, unequal
 
 def suffix_prefix_overlap(a: Column | str, b: Column | str) -> Column:
     """Longest suffix of ``a`` that is a prefix of ``b``."""
-    a, b = col(a), col(b)
-    shorter = F.least(F.length(a), F.length(b))
-    fits = F.filter(F.sequence(F.lit(1), F.greatest(shorter, F.lit(1))),
-                    lambda i: (i <= shorter) & (F.right(a, i) == F.left(b, i)))
-    return F.coalesce(F.array_max(fits), F.lit(0))
+    return letters.overlap()(col(a), col(b))
 
 
 def has_long_repeat(seq: Column | str, k: int = 8) -> Column:
     """True when some k-mer occurs twice without overlapping itself."""
-    s = col(seq)
-    starts = F.sequence(F.lit(1), F.greatest(F.length(s) - k + 1, F.lit(1)))
-    return F.exists(starts, lambda i: (F.length(s) >= i + k - 1)
-                    & (
-                       F.call_function("locate", s.substr(i, F.lit(k)), s, i + k) > 0))
+    return letters.repeats(k)(col(seq))
 
 
 def longest_stem(seq: Column | str, shortest: int = 3, longest: int | None = None, loop: int = 3) -> Column:
-    """Longest stem a strand can fold into, from inverted repeats with a loop of at least ``loop``; up to ``longest`` if that is given.
-
-    A stem of k pairs contains one of k-1 pairs, so lengths are tried upwards and stop at the first miss.
-    """
-    s = col(seq)
-
-    def folds(k: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.length(s) - k * 2 - loop + 1, F.lit(1)))
-        return F.exists(starts, lambda i: F.call_function(
-            "locate", revcomp(s.substr(i, k)), s, i + k + loop) > 0)
-
-    most = F.floor((F.length(s) - loop) / 2).cast("int") if longest is None else F.lit(longest)
-    sizes = F.sequence(F.lit(shortest), F.greatest(most, F.lit(shortest)))
-    best = F.aggregate(sizes, F.lit(shortest - 1), lambda acc, k: F.when(
-        (acc == k - 1) & (F.length(s) >= k * 2 + loop) & folds(k), k).otherwise(acc))
+    """Longest stem a strand can fold into, from inverted repeats with a loop of at least ``loop``; up to ``longest`` if that is given."""
+    best = letters.stem(loop)(col(seq))
+    if longest is not None:
+        best = F.least(best, F.lit(max(longest, shortest)))
     return F.when(best >= shortest, best).otherwise(F.lit(0))
 
 
@@ -147,5 +130,17 @@ def fixed_point(x: Column | str, digits: int, bits: int = 50) -> Column:
     rest = whole % unit_c
     down = ((whole - rest) / unit_c).cast("bigint")
     up = (rest > half) | ((rest == half) & (down % 2 == 1))
-    q = down + up.cast("bigint")
+    # only what lies next to a tie needs all the digits
+    near = col(x) * F.lit(float(ten))
+    q = F.when(F.abs(near - F.rint(near)) < 0.499, F.rint(near).cast("bigint")).otherwise(down + up.cast("bigint"))
     return F.concat(F.floor(q / ten).cast("string"), F.lit("."), F.lpad((q % ten).cast("string"), digits, "0"))
+
+
+def rounded(x: Column | str, digits: int) -> Column:
+    """``F.round`` of a double by plain arithmetic; what lies next to a tie, or is large or not finite, takes the decimal way."""
+    c, scale = col(x), F.lit(float(10 ** digits))
+    up = c * scale
+    whole = F.rint(up)
+    # up to a billion the product is off by less than 1e-6; adding zero turns -0.0 into 0.0 as decimals do
+    plain = (F.abs(up) < 1e9) & (F.abs(up - whole) < 0.499)
+    return F.when(plain, (whole + F.lit(0.0)) / scale).otherwise(F.round(c, digits))

@@ -51,7 +51,7 @@ def _(spark, sf_dir):
 
 @query("tm_nn", using("probes40", f"SELECT doc_id, tile_no, round({sql_tm_of('probe')}, 6) AS tm FROM probes40"))
 def _(spark, sf_dir):
-    return probe40(spark, sf_dir).select("doc_id", "tile_no", F.round(thermo.tm_nn("probe"), 6).alias("tm"))
+    return probe40(spark, sf_dir).select("doc_id", "tile_no", sq.rounded(thermo.tm_nn("probe"), 6).alias("tm"))
 
 
 @query("tm_tables", using("probes40", "SELECT doc_id, tile_no, " + ", ".join(
@@ -59,7 +59,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     pairs = [("DNA", "RNA"), ("RNA", "RNA"), ("DNA", "DNA")]
     return probe40(spark, sf_dir).select("doc_id", "tile_no", *[
-        F.round(thermo.tm_nn("probe", thermo.table_for(a, b)), 6).alias(f"tm_{a}_{b}".lower()) for a, b in pairs])
+        sq.rounded(thermo.tm_nn("probe", thermo.table_for(a, b)), 6).alias(f"tm_{a}_{b}".lower()) for a, b in pairs])
 
 
 @query("gene_case", """SELECT p_partkey, upper(left(p_name, 1)) || lower(substr(p_name, 2)) AS mouse, upper(p_name) AS human, p_name AS other FROM part""")

@@ -166,23 +166,23 @@ def _(spark, sf_dir):
     return numbered(j.select("doc_id", "kind", "strand", "allele", "target", "pos5", "pos3", "g_pos5", "g_pos3", "edit_kind", "edit_offset"))
 
 
-def grid_along(spark, sf_dir):
-    return vr.arm_grid(vr.junctions(variants_apart(spark, sf_dir), regions=transcripts(spark, sf_dir)))
+def points_along(spark, sf_dir):
+    return vr.junctions(variants_apart(spark, sf_dir), regions=transcripts(spark, sf_dir)).select("doc_id", "allele", "target", "pos5", "pos3")
 
 
 # all pairs are made and weighed; they come out as figures per point, a hundred times fewer rows
 @query("arm_grid_along", using("grid_along", """SELECT doc_id AS variant_no, allele, pos5, count(*) AS n, sum(arm5_len) AS n5, sum(arm3_len) AS n3, max(bds5) AS bds5, max(bds3) AS bds3,
     max(tm5) AS tm5, max(tm3) AS tm3, CAST(sum(CAST(round(score * 100) AS BIGINT)) AS BIGINT) AS score FROM grid_along GROUP BY ALL"""))
 def _(spark, sf_dir):
-    return numbered(grid_along(spark, sf_dir).groupBy("doc_id", "allele", "pos5").agg(
-        F.count("*").alias("n"), F.sum("arm5_len").alias("n5"), F.sum("arm3_len").alias("n3"), F.max("bds5").alias("bds5"), F.max("bds3").alias("bds3"),
-        F.max("tm5").alias("tm5"), F.max("tm3").alias("tm3"), F.sum(F.round(F.col("score") * 100).cast("bigint")).alias("score")))
+    f = vr.arm_figures(points_along(spark, sf_dir))
+    return numbered(f.groupBy("doc_id", "allele", "pos5").agg(
+        *[F.sum(c).alias(c) for c in ("n", "n5", "n3")], *[F.max(c).alias(c) for c in ("bds5", "bds3", "tm5", "tm3")], F.sum("score").alias("score")))
 
 
 @query("rank_arm_designs_along", using("grid_along", """SELECT doc_id AS variant_no, allele, pos5, arm5_len, arm3_len, score,
     CAST(row_number() OVER (PARTITION BY doc_id, allele, pos5 ORDER BY score, arm5_len, arm3_len) AS INTEGER) AS rank FROM grid_along QUALIFY rank <= 3"""))
 def _(spark, sf_dir):
-    r = vr.rank_designs(grid_along(spark, sf_dir), ["doc_id", "allele", "pos5"]).filter("rank <= 3")
+    r = vr.rank_designs(vr.arm_grid(points_along(spark, sf_dir), best=3), ["doc_id", "allele", "pos5"]).filter("rank <= 3")
     return numbered(r.select("doc_id", "allele", "pos5", "arm5_len", "arm3_len", "score", "rank"))
 
 

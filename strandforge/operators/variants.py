@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.sequence import flip_position, mutate, revcomp
-from ..functions.thermo import step_prefix, tm_nn, tm_part
+from ..functions.sequence import flip_position, mutate, revcomp, rounded
+from ..functions.thermo import tm_nn
+from . import arms
 from .extraction import fetch_regions, genome_chunks
 from .windows import PIECE, cut_pieces
 
@@ -95,27 +96,28 @@ def junctions(variants: DataFrame, seq: str = "seq", pad: int = PAD, regions: Da
 
 
 def arm_grid(points: DataFrame, shortest: int = ARM_MIN, longest: int = ARM_MAX, start: int = ARM_START,
-             mfe: str | None = None) -> DataFrame:
+             mfe: str | None = None, best: int | None = None) -> DataFrame:
     """All pairs of arm lengths per ligation point, with Tm of both arms and a score (smaller is better).
 
     Each arm length is scored once, from running sums over the target, before the two lists are paired. ``mfe`` names a column
-    with the folding energy of the point, 0 where there is none. Arms that would run off the target are left out.
+    with the folding energy of the point, 0 where there is none. Arms that would run off the target are left out. With ``best`` only that
+    many designs of a point go on, those that ``rank_designs`` puts first.
     """
-    sizes = F.sequence(F.lit(shortest), F.lit(longest))
-    t, pre = F.col("target"), F.col("_pre")
-    cut5, start3 = (F.col("pos5") + 1).cast("int"), F.col("pos3").cast("int")
-    a5 = F.transform(F.filter(sizes, lambda k: k <= cut5), lambda k: F.struct(
-        k.alias("n"), revcomp(t.substr(cut5 - k + 1, k)).alias("s"), F.round(tm_part(pre, cut5 - k, cut5), 2).alias("tm")))
-    a3 = F.transform(F.filter(sizes, lambda k: start3 + k <= F.length(t)), lambda k: F.struct(
-        k.alias("n"), revcomp(t.substr(start3 + 1, k)).alias("s"), F.round(tm_part(pre, start3, start3 + k), 2).alias("tm")))
-    energy = F.coalesce(F.col(mfe), F.lit(0.0)) if mfe else F.lit(0.0)
-    pairs = F.flatten(F.transform("_a5", lambda x: F.transform(F.col("_a3"), lambda y: F.struct(
-        x["n"].alias("arm5_len"), y["n"].alias("arm3_len"), x["tm"].alias("tm5"), y["tm"].alias("tm3"),
-        x["s"].alias("bds5"), y["s"].alias("bds3")))))
-    score = F.round(F.abs(F.col("tm5") - F.col("tm3")) + F.abs(F.col("arm5_len") - start) + F.abs(F.col("arm3_len") - start) - energy, 2)
     keep = [c for c in points.columns if c != "target"]
-    return (points.withColumn("_pre", step_prefix("target")).withColumn("_a5", a5).withColumn("_a3", a3)
-            .select(*keep, F.explode(pairs).alias("x")).select(*keep, "x.*").withColumn("score", score))
+    made = arms.pairs(shortest, longest, start, best)(*_point(points, mfe))
+    return points.withColumn("_x", made).select(*keep, F.explode("_x").alias("x")).select(*keep, "x.*")
+
+
+def arm_figures(points: DataFrame, shortest: int = ARM_MIN, longest: int = ARM_MAX, start: int = ARM_START, mfe: str | None = None) -> DataFrame:
+    """Figures of the grid of each point that has one: pairs ``n``, lengths ``n5`` and ``n3`` and scores in hundredths added up, largest arms and Tm."""
+    keep = [c for c in points.columns if c != "target"]
+    made = arms.figures(shortest, longest, start)(*_point(points, mfe))
+    return points.withColumn("_x", made).select(*keep, "_x.*").filter("n > 0")
+
+
+def _point(points: DataFrame, mfe: str | None) -> list[Column]:
+    energy = F.coalesce(F.col(mfe).cast("double"), F.lit(0.0)) if mfe else F.lit(0.0)
+    return [F.col("target"), F.col("pos5").cast("bigint"), F.col("pos3").cast("bigint"), energy]
 
 
 def rank_designs(grid: DataFrame, point: list[str]) -> DataFrame:
@@ -172,28 +174,11 @@ def arm_balance(variants: DataFrame, low: float = 45.0, high: float = 65.0, diff
     """Best-balanced arm lengths per variant on the changed allele; null where no pair is within the limits.
 
     All lengths are weighed instead of walking from one to the next, which can go round without end. The choice
-    is made inside the row: smallest difference, then closest to ``start``, then shortest.
+    is made in a kernel, row by row: smallest difference, then closest to ``start``, then shortest.
     """
     head, tail = _sides("flank", "mut")
     v = flanked(variants, seq, gap, regions, region).withColumn("_h", head).withColumn("_t", tail)
-    # running sums on the strand that is read: one pass per side serves every length
-    def prefix(c: str) -> Column:
-        return F.when(F.col("strand") == -1, step_prefix(c, minus=True)).otherwise(step_prefix(c))
-
-    v = v.withColumn("_ph", prefix("_h")).withColumn("_pt", prefix("_t"))
-    n_h, n_t = F.length("_h"), F.length("_t")
-    sizes = F.sequence(F.lit(shortest), F.lit(longest))
-
-    def arms(pre: str, n: Column, from_end: bool) -> Column:
-        temps = F.transform(F.filter(sizes, lambda k: k <= n), lambda k: F.struct(k.alias("n"), (
-            tm_part(F.col(pre), n - k, n) if from_end else tm_part(F.col(pre), F.lit(0), k)).alias("tm")))
-        return F.filter(temps, lambda x: x["tm"].between(low, high))
-
-    v = v.withColumn("_a", arms("_ph", n_h, True)).withColumn("_b", arms("_pt", n_t, False))
-    pairs = F.flatten(F.transform("_a", lambda x: F.transform(F.col("_b"), lambda y: F.struct(
-        F.abs(x["tm"] - y["tm"]).alias("d"), (F.abs(x["n"] - start) + F.abs(y["n"] - start)).alias("off"),
-        x["n"].alias("left"), y["n"].alias("right"), x["tm"].alias("tm_left"), y["tm"].alias("tm_right")))))
-    best = F.array_min(F.filter(pairs, lambda p: p["d"] < diff))
+    best = arms.balanced(low, high, diff, shortest, longest, start)(F.col("_h"), F.col("_t"), F.col("strand") == -1)
     return (v.withColumn("_best", best).select(*[c for c in variants.columns if c != seq], F.col("_best.left").alias("left_len"),
                                                F.col("_best.right").alias("right_len"), F.col("_best.tm_left").alias("tm_left"),
                                                F.col("_best.tm_right").alias("tm_right")))
@@ -203,6 +188,6 @@ def ilock_arms(rows: DataFrame, target: str, link: Column, len5: int = 20, len3:
     """Arms that share one base at the link: ``[link-len5+1, link+1)`` and ``[link, link+len3)``, 0-based."""
     t, at = F.col(target), link.cast("int")
     t5, t3 = t.substr(at - len5 + 2, F.lit(len5)), t.substr(at + 1, F.lit(len3))
-    return (rows.withColumn("ilock_tm", F.round(tm_nn(t), 2)).withColumn("ilock_tm5", F.round(tm_nn(t5), 2))
-            .withColumn("ilock_tm3", F.round(tm_nn(t3), 2)).withColumn("ilock_bds", revcomp(t))
+    return (rows.withColumn("ilock_tm", rounded(tm_nn(t), 2)).withColumn("ilock_tm5", rounded(tm_nn(t5), 2))
+            .withColumn("ilock_tm3", rounded(tm_nn(t3), 2)).withColumn("ilock_bds", revcomp(t))
             .withColumn("ilock_bds5", revcomp(t5)).withColumn("ilock_bds3", revcomp(t3)))

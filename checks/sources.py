@@ -53,7 +53,7 @@ def _(spark, sf_dir):
                .select(F.concat(F.lit("S"), F.col("site_no").cast("string"), F.lit("|pos=1")).alias("Iteration_query-def"),
                        F.struct("Hit").alias("Iteration_hits")))
     out = scratch_path(spark, "xml")
-    records.write.format("xml").option("rootTag", "BlastOutput").option("rowTag", "Iteration").save(out)
+    records.write.format("xml").option("rootTag", "BlastOutput").option("rowTag", "Iteration").option("compression", "gzip").save(out)
     return alignments.scan_alignments(spark, out).withColumn("identity", F.round("identity", 6))
 
 

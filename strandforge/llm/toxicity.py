@@ -77,12 +77,15 @@ class Model:
 
     def inputs(self, words: list[str]) -> np.ndarray:
         """Word and character vector of each word."""
-        grams = [trigrams(w) for w in words]
-        sizes = np.array([len(g) for g in grams])
-        flat = np.fromiter((g for one in grams for g in one), np.int64, int(sizes.sum()))
-        chars = np.add.reduceat(self.weights["chars"][flat], np.cumsum(sizes) - sizes) / sizes[:, None]
-        own = self.weights["words"][[self.vocabulary.get(w, 0) for w in words]]
-        return np.concatenate([own, chars], axis=1).astype(np.float32)
+        out = np.empty((len(words), 2 * WIDTH), np.float32)
+        for at in range(0, len(words), BLOCK):
+            some = words[at:at + BLOCK]
+            grams = [trigrams(w) for w in some]
+            sizes = np.array([len(g) for g in grams])
+            flat = np.fromiter((g for one in grams for g in one), np.int64, int(sizes.sum()))
+            out[at:at + BLOCK, :WIDTH] = self.weights["words"][[self.vocabulary.get(w, 0) for w in some]]
+            out[at:at + BLOCK, WIDTH:] = np.add.reduceat(self.weights["chars"][flat], np.cumsum(sizes) - sizes) / sizes[:, None]
+        return out
 
     def project(self, x: np.ndarray) -> np.ndarray:
         """What a word adds to the gates of both directions."""
@@ -184,26 +187,30 @@ def _worst(model: Model, gates: np.ndarray, windows: list[list[np.ndarray]]) ->
 
 def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Model:
     """A model of labelled texts; deterministic."""
-    rows = [(w, y) for w, y in zip(map(words_of, texts), labels) if w]
+    met: dict[str, int] = {}
+    rows, held = [], []
+    for text, y in zip(texts, labels):
+        words = words_of(text)  # only the numbers of a text's words are kept
+        if words:
+            ids = np.fromiter((met.setdefault(w, len(met)) for w in words), np.int32, len(words))
+            held += [0] * (len(met) - len(held))
+            for i in set(ids.tolist()):
+                held[i] += 1
+            rows.append((ids, y))
     positive = sum(y for _, y in rows)
     if not 0 < positive < len(rows):
         return Model({}, {}, positive / len(rows) if rows else 0.0)
-    held: dict[str, int] = {}
-    for words, _ in rows:
-        for w in set(words):
-            held[w] = held.get(w, 0) + 1
-    every = sorted(held)
-    place = {w: i for i, w in enumerate(every)}
-    own = {w: i + 1 for i, w in enumerate(w for w in every if held[w] >= LEAST_DOCS)}
+    every = sorted(met)
+    own = {w: i + 1 for i, w in enumerate(w for w in every if held[met[w]] >= LEAST_DOCS)}
     model, adam, rng = Model.fresh(own), _Adam(RATE), np.random.default_rng(SEED)
-    grams = [trigrams(w) for w in every]
     row_of = np.array([own.get(w, 0) for w in every])
-    windows = []
-    for words, _ in rows:
-        ids = np.array([place[w] for w in words])
-        windows.append([ids[s:s + WINDOW] for s in window_starts(len(ids))])
+    place = np.empty(len(met), np.int32)
+    place[[met[w] for w in every]] = np.arange(len(every))
+    windows = [[ids[s:s + WINDOW] for s in window_starts(len(ids))] for ids in (place[one] for one, _ in rows)]
     truth = np.array([y for _, y in rows], np.float32)
-    importance = np.where(truth > 0, (len(rows) - positive) / positive, 1).astype(np.float32)
+    rows = len(rows)
+    del met, held, place
+    importance = np.where(truth > 0, (rows - positive) / positive, 1).astype(np.float32)
     for epoch in range(epochs):
         if epoch:
             picked = _worst(model, model.project(model.inputs(every)), windows)
@@ -222,8 +229,9 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Model:
                 known, at_word = np.unique(row_of[used], return_inverse=True)
                 d_words = np.zeros((len(known), WIDTH), np.float32)
                 np.add.at(d_words, at_word, d_x[:, :WIDTH])
-                flat = np.concatenate([grams[i] for i in used])
-                sizes = np.array([len(grams[i]) for i in used])
+                grams = [trigrams(every[i]) for i in used]
+                flat = np.concatenate(grams)
+                sizes = np.array([len(g) for g in grams])
                 seen, at_gram = np.unique(flat, return_inverse=True)
                 d_chars = np.zeros((len(seen), WIDTH), np.float32)
                 np.add.at(d_chars, at_gram, np.repeat(d_x[:, WIDTH:] / sizes[:, None], sizes, axis=0))

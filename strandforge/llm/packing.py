@@ -7,8 +7,8 @@ A rest that fits nowhere any more is cut: its first ids fill the cheapest sequen
 sequences have exactly the room its rests need: as many full ones as fill, and the remainder as powers of two, which are not padded.
 
 Tokens: the ids of the named byte-level BPE vocabulary. Its added tokens, from the JSON file beside the ranks, are cut out of a text first
-and give their own ids, as ``tokenizers`` does; the parts between them are encoded apart from each other. Its words begin at a blank before a non-blank, so a text without other
-blanks is cut there and words are looked up in a bounded cache of this process; other texts are encoded whole.
+and give their own ids, as ``tokenizers`` does; the parts between them are encoded apart from each other, each as a whole. A process keeps
+no words and holds the texts of few rows at a time.
 
 Defined cases: a null or empty text is the end id alone; rows that repeat a doc_id, or have none, are documents of their own;
 an empty table gives no piece; further columns are not carried (pieces are a table of their own).
@@ -33,11 +33,10 @@ LENGTH, END = 1024, 0
 GROUP_DOCS = 16_384
 #: Cost of one piece of n ids: LINEAR * n + QUADRATIC * n * n.
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
-#: Words that a process keeps; the cache starts anew when it is full.
-CACHE_WORDS = 400_000
+#: Rows whose texts and ids a kernel holds at once.
+ROWS = 256
 
-_ODD = re.compile(r" (?=\s|$)")
-_ENCODERS: dict[str, _Words] = {}
+_ENCODERS: dict[str, _Encoder] = {}
 
 
 def added_tokens(vocabulary_path: str) -> tuple[dict[str, bytes], re.Pattern | None]:
@@ -51,24 +50,17 @@ def added_tokens(vocabulary_path: str) -> tuple[dict[str, bytes], re.Pattern | N
     return added, re.compile(f"({longest})") if added else None
 
 
-class _Words(dict):
-    """Ids (little-endian 16-bit) of a word with a blank before it, by the word."""
+class _Encoder:
+    """Ids (little-endian 16-bit) of texts."""
 
     def __init__(self, ranks_path: str):
         import public_tokenizers
         import tiktoken
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(ranks_path, "rb"))}
+        with open(ranks_path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encode = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.added, self.cut = added_tokens(os.path.splitext(ranks_path)[0] + ".json")
 
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.encode(" " + word), "<u2").tobytes()
-        if len(word) <= 64:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
-
     def text(self, text: str) -> bytes:
         if self.cut is None or not self.cut.search(text):
             return self.plain(text)
@@ -77,25 +69,24 @@ class _Words(dict):
         return b"".join(self.added[p] if i % 2 else self.plain(p) for i, p in enumerate(parts))
 
     def plain(self, text: str) -> bytes:
-        if _ODD.search(text):
-            return np.array(self.encode(text), "<u2").tobytes()
-        first, *words = text.split(" ")
-        return np.array(self.encode(first), "<u2").tobytes() + b"".join(map(self.__getitem__, words))
+        return np.array(self.encode(text), "<u2").tobytes()
 
 
-def encoder(ranks_path: str) -> _Words:
+def encoder(ranks_path: str) -> _Encoder:
     """The encoder of this process for a vocabulary file of at most 65,536 ids."""
     if ranks_path not in _ENCODERS:
-        _ENCODERS[ranks_path] = _Words(ranks_path)
+        _ENCODERS[ranks_path] = _Encoder(ranks_path)
     return _ENCODERS[ranks_path]
 
 
 def _tokenise(ranks_path: str, end: int):
     def kernel(batches):
-        words, tail = encoder(ranks_path), np.array([end], "<u2").tobytes()
+        told, tail = encoder(ranks_path), np.array([end], "<u2").tobytes()
         for b in batches:
-            ids = [words.text(t or "") + tail for t in b.column("text").to_pylist()]
-            yield pa.record_batch([b.column("doc"), pa.array(ids, pa.binary())], names=["doc", "ids"])
+            for at in range(0, b.num_rows, ROWS):
+                rows = b.slice(at, ROWS)
+                ids = [told.text(t or "") + tail for t in rows.column("text").to_pylist()]
+                yield pa.record_batch([rows.column("doc"), pa.array(ids, pa.binary())], names=["doc", "ids"])
     return kernel
 
 

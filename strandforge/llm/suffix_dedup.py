@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..session import cut_lineage
+from ..session import cut_lineage, drop_cuts
 from .common import struct_field
 from .jaccard import _powers, mix
 
@@ -255,18 +255,24 @@ def _windows(batches):
 
 
 def repeated_ranges(owners: DataFrame) -> DataFrame:
-    """doc, tie, a, z: ranges of bytes that are covered by earlier strings, from texts (doc, tie, data) that all differ."""
+    """doc, tie, a, z: ranges of bytes that are covered by earlier strings, from texts (doc, tie, data) that all differ.
+
+    ``owners`` is a written table; it is deleted as soon as the contexts are cut, and so is every table here once the next ones are written.
+    """
     every = owners.mapInArrow(_anchor_rows, "anchor bigint, doc bigint, tie bigint, place bigint")
     often = cut_lineage(every.groupBy("anchor").count().filter("count > 1").select("anchor"), "anchors")
     hits = (every.join(often, "anchor").groupBy("doc", "tie").agg(F.collect_list(F.struct("anchor", "place")).alias("hits")))
     contexts = owners.join(hits, ["doc", "tie"]).mapInArrow(
         _contexts, "anchor bigint, doc bigint, tie bigint, start bigint, digest binary, context binary")
     contexts = cut_lineage(contexts, "contexts")
+    drop_cuts(owners, often)
     one = cut_lineage(contexts.groupBy("anchor", "digest", "context").agg(F.min(F.struct("doc", "tie", "start")).alias("first"))
                       .select("anchor", "digest", "context", "first.*"), "distinct")
     whole = (contexts.select("digest", "doc", "tie", "start", F.length("context").alias("n")).filter(F.col("n") >= LENGTH)
              .join(one.select("digest", *[F.col(c).alias(f"first_{c}") for c in ("doc", "tie", "start")]), "digest")
              .filter("doc <> first_doc OR tie <> first_tie OR start <> first_start").select("doc", "tie", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("z")))
+    whole = cut_lineage(whole, "whole")
+    drop_cuts(contexts)
     # further copies of a context are in ``whole``; anchors with too many contexts for a shard are at most one in ``HOT`` contexts
     hot = cut_lineage(one.groupBy("anchor").count().filter(F.col("count") > HOT).select("anchor"), "hot")
     shards = max(1, -(-one.count() // SHARD))
@@ -276,7 +282,9 @@ def repeated_ranges(owners: DataFrame) -> DataFrame:
     lead = windows.groupBy("window").agg(F.min(F.struct("doc", "tie", "a")).alias("lead"))
     crowded = (windows.join(lead, "window").filter("doc <> lead.doc OR tie <> lead.tie OR a <> lead.a")
            .select("doc", "tie", "a", (F.col("a") + LENGTH).alias("z")))
-    return settled.unionByName(crowded).unionByName(whole)
+    ranges = cut_lineage(settled.unionByName(crowded).unionByName(whole), "ranges")
+    drop_cuts(one, hot, whole)
+    return ranges
 
 
 def _cut(text_name: str):
@@ -312,10 +320,13 @@ def dedup_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     long = plain.filter(F.length("data") >= LENGTH).join(first, "digest").filter("doc = first")
     # only rows that repeat a doc_id and its text, too, have to meet
     owners = cut_lineage(long.filter("NOT again").unionByName(long.filter("again").dropDuplicates(["doc", "digest"])).select("doc", "tie", "data"), "owners")
-    cuts = repeated_ranges(owners).groupBy("doc", "tie").agg(F.collect_set(F.struct("a", "z")).alias("cuts")).withColumn("owner", F.lit(True))
+    ranges = repeated_ranges(owners)
+    cuts = ranges.groupBy("doc", "tie").agg(F.collect_set(F.struct("a", "z")).alias("cuts")).withColumn("owner", F.lit(True))
     copies = (plain.select("doc", "digest", "tie").join(first.drop("again"), "digest").filter("doc <> first").select("doc", "tie").distinct()
               .select("doc", "tie", F.lit(None).cast("array<struct<a:bigint,z:bigint>>").alias("cuts"), F.lit(False).alias("owner")))
-    told = cut_lineage(cuts.unionByName(copies), "cuts").withColumnsRenamed({"doc": "told_doc", "tie": "told_tie"})
+    told = cut_lineage(cuts.unionByName(copies), "cuts")
+    drop_cuts(ranges, first)
+    told = told.withColumnsRenamed({"doc": "told_doc", "tie": "told_tie"})
     inner = docs.select(F.struct("*").alias("row"), doc, F.xxhash64(data).alias("tie"))
     both = inner.join(told, (inner["doc"] == told["told_doc"]) & (inner["tie"] == told["told_tie"]), "left").select("row", "owner", "cuts")
     added = [T.StructField("kept", T.BinaryType()), *[T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")]]

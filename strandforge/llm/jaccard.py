@@ -10,7 +10,8 @@ fixed size that covers all documents), rarest first; two sets that reach the thr
    of the pairs that reach the threshold by that bound the sets themselves are compared, as integers.
 3. Classes that links connect, along whole chains, bear one label. Pairs of a bucket with the same label need no comparison. While many others are
    open, the rows of open buckets meet two further hubs, so a large group of near copies closes round by round and never turns into all of its
-   pairs. When hubs close no more, the pairs with different labels that are left are all compared, so no link between components is lost.
+   pairs. When hubs close no more, the pairs with different labels that are left are all compared, so no link between components is lost; in
+   crowded buckets short outlines are compared inside the join, so that its pairs that cannot link are never rows.
 4. The labels are the components of all links found.
 
 Defined cases: a document of fewer than five words is one shingle; one without words is linked with nothing; rows with a null doc_id are linked with
@@ -38,6 +39,8 @@ NUM, DEN = 75, 100
 SKETCH_BITS = 19
 #: Bits that mark documents whose sets are wanted; 2 MB. More marked documents only mean more sets computed.
 MARK_BITS = 24
+#: Bits of the short outlines in crowded buckets, those with more pairs than this many a row.
+SHORT_BITS, CROWD = 1024, 4
 #: Rows whose sets a kernel holds at once.
 ROWS = 512
 BLOCK = 1 << 18
@@ -266,7 +269,14 @@ def most_common(x, y, n: int, m: int) -> int:
     return min(n - int(np.bitwise_count(u & ~v).sum()), m - int(np.bitwise_count(v & ~u).sum()))
 
 
-def _wanted(marks, told):
+def short_outline(every: np.ndarray) -> np.ndarray:
+    """Bitmap of a set's hashes modulo ``SHORT_BITS``, as longs."""
+    bits = np.zeros(SHORT_BITS, bool)
+    bits[(every & np.uint64(SHORT_BITS - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def _wanted(marks, told, kind=pa.binary()):
     """node, n and ``told(set)`` of the marked documents."""
     def kernel(batches):
         for b in batches:
@@ -274,7 +284,7 @@ def _wanted(marks, told):
             held = marks.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)
             for rows in _slices(b.filter(pa.array(held.astype(bool)))):
                 sets = shingle_sets(utf8(rows.column("text")))
-                yield batch({"node": pa.int64(), "n": pa.int64(), "told": pa.binary()},
+                yield batch({"node": pa.int64(), "n": pa.int64(), "told": kind},
                             {"node": rows.column("doc"), "n": [len(s) for s in sets], "told": [told(s) for s in sets]})
     return kernel
 
@@ -368,6 +378,43 @@ def _hub_pairs(open_: DataFrame, seeds: tuple[int, int], num: int, den: int) ->
             .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct())
 
 
+def _other_pairs(left: DataFrame, right: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) of all rows of a bucket with different labels that can link; where rows have short outlines, by these, too."""
+    short = [c for c in left.columns if c.startswith("short")]
+    names = {"gid": "other", "n": "m", "pos": "place", "node": "b", "label": "lb", **{c: f"other_{c}" for c in short}}
+    met = left.withColumnsRenamed({"node": "a", "label": "la"}).join(right.withColumnsRenamed(names), "token")
+    can = (F.col("gid") == F.col("other")) | _can_link(num, den)
+    if short:
+        # a bit that only one of two sets has is a shingle of its own
+        only = lambda u, v: sum(F.bit_count(F.col(u.format(c)).bitwiseAND(F.bitwise_not(F.col(v.format(c))))) for c in short)
+        least = num * (F.col("n").cast("bigint") + F.col("m"))
+        can = can & ((num + den) * (F.col("n") - only("{}", "other_{}")) >= least) & ((num + den) * (F.col("m") - only("other_{}", "{}")) >= least)
+    met = met.filter("a < b AND la <> lb").filter(can)
+    return met.select("a", "b").distinct()
+
+
+def _rest_pairs(open_: DataFrame, marked: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): all pairs of a bucket with different labels that can link.
+
+    In crowded buckets every row bears a short outline of its set, so that of the pairs of a large group only those leave the join that
+    may reach the threshold; outlines of 1,024 bits tell less of sets of over a thousand shingles, and lose no pair of any.
+    """
+    spark = open_.sparkSession
+    each = open_.groupBy("token", "label").agg(F.count("*").alias("k")).groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same"))
+    crowded = cut_lineage(each.filter(f"k * k - same > {2 * CROWD} * k").select("token"), "crowded")
+    calm = open_.join(crowded, "token", "left_anti").select("token", "gid", "n", "pos", "node", "label")
+    full = open_.join(crowded, "token").select("token", "gid", "n", "pos", "node", "label")
+    words = mark_words(full.select("node"))
+    if not words.any():
+        return _other_pairs(calm, calm, num, den)
+    short = marked.mapInArrow(_wanted(spark.sparkContext.broadcast(words), short_outline, pa.list_(pa.int64())), "node bigint, n bigint, told array<bigint>")
+    short = short.select("node", F.col("n").cast("int").alias("n"),
+                         *[F.coalesce(F.col("told")[i], F.lit(0).cast("bigint")).alias(f"short{i}") for i in range(SHORT_BITS // 64)])
+    # every row of a bucket is of a text of its node, and n is the size of that text's set
+    full = cut_lineage(full.join(short.distinct(), ["node", "n"]), "full")
+    return _other_pairs(calm, calm, num, den).unionByName(_other_pairs(full, full, num, den)).distinct()
+
+
 def _same_ids(signed: DataFrame, classes: DataFrame) -> DataFrame:
     """Links (a, b) between the classes of the texts of one doc_id; none where no doc_id has two texts."""
     own, text = signed.filter("n > 0 AND doc IS NOT NULL"), F.struct("d1", "d2", "n")
@@ -426,11 +473,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         tried = tried.unionByName(pairs)
         rest = open_.drop("label").join(labelled, ["gid", "node"])  # labels only merge, so a closed bucket stays closed
 
-    left = open_.select("token", "gid", "n", "pos", F.col("node").alias("a"), F.col("label").alias("la"))
-    right = open_.select("token", F.col("gid").alias("other"), F.col("n").alias("m"), F.col("pos").alias("place"), F.col("node").alias("b"), F.col("label").alias("lb"))
-    pairs = (left.join(right, "token").filter((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")))
-             .filter((F.col("gid") == F.col("other")) | _can_link(num, den)).select("a", "b").distinct()
-             .join(tried, ["a", "b"], "left_anti"))
+    pairs = _rest_pairs(open_, marked, num, den).join(tried, ["a", "b"], "left_anti")
     pairs = cut_lineage(pairs, "pairs")
     labelled = _merged(labelled, _verified(pairs, marked, num, den))
 

@@ -32,9 +32,8 @@ def test_pairs_that_cannot_link_are_not_made(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "_verified", counted)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     got = {r.doc: r.component for r in jaccard.similar_documents(docs).collect()}
-    print("pairs", made, "links", len(links), "components", len(set(label)))
     assert got == dict(enumerate(label)) and 1 < len(set(label)) < 240
-    assert made[-1] <= 2_000
+    assert made[-1] <= 20  # 42 by sizes and places alone
 
 
 def test_short_outlines_bound_from_above():

@@ -147,7 +147,7 @@ class _Group:
             yield self._piece(doc, before + start, ids[start:start + n], before + len(ids), self.made + at, offset)
 
 
-def _pack_groups(groups: int, size: int, linear: float, quadratic: float, at_once: int = 4096):
+def _pack_groups(groups: int, size: int, linear: float, quadratic: float, at_once: int = 1024):
     def rows(batches):
         group = None
         for b in batches:

@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, drop_cuts
 from .common import batch, utf8
 from .components import components
 
@@ -41,8 +41,10 @@ SKETCH_BITS = 19
 MARK_BITS = 24
 #: Bits of the short outlines in crowded buckets, those with more pairs than this many a row.
 SHORT_BITS, CROWD = 1024, 4
-#: Rows whose sets a kernel holds at once.
-ROWS = 512
+#: Crowded buckets that a row lists, so that two rows meet in the first one they share.
+FIRSTS = 16
+#: Rows whose sets a kernel holds at once; groups that a task remembers, so as to send their copies once.
+ROWS, SEEN = 512, 1 << 16
 BLOCK = 1 << 18
 CHUNK = 1 << 14
 
@@ -186,10 +188,12 @@ def frequency_levels(rows: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
     partial = rows.select("text").mapInArrow(_count_cells(bits), "chunk int, cells binary")
     spread = partial.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(16))).repartition("chunk", "part").sortWithinPartitions("chunk")
     once = spread.select("chunk", "cells").mapInArrow(_sum_cells, "chunk int, cells binary")
-    sums = once.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_sum_cells, "chunk int, cells binary")
+    # written first, so that the shuffle files of the sketch are gone before larger ones are made
+    sums = cut_lineage(once.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_sum_cells, "chunk int, cells binary"), "cells")
     cells = np.zeros((2 << bits) // CHUNK * CHUNK, np.float64)
     for r in sums.collect():  # as many rows as the sketch has chunks
         cells[r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.frombuffer(r["cells"], "<u8")
+    drop_cuts(sums)
     return np.round(8 * np.log2(np.maximum(cells, 1))).astype(np.uint16).reshape(2, -1)
 
 
@@ -229,8 +233,10 @@ def _sign(levels):
 
 def _prefixes(levels):
     def kernel(batches):
+        seen = set()
         for b in batches:
-            seen = set()
+            if len(seen) > SEEN:  # only copies that are sent twice
+                seen.clear()
             for part in _slices(b):
                 tokens, gids, sizes, places = [], [], [], []
                 for every in shingle_sets(utf8(part.column("text"))):
@@ -379,9 +385,13 @@ def _hub_pairs(open_: DataFrame, seeds: tuple[int, int], num: int, den: int) ->
 
 
 def _other_pairs(left: DataFrame, right: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) of all rows of a bucket with different labels that can link; where rows have short outlines, by these, too."""
+    """(a, b) of all rows of a bucket with different labels that can link; where rows have short outlines, by these, too.
+
+    Rows with ``firsts``, the first buckets of their group in the order of places, meet in the first bucket that both lists hold and in no
+    later one: the filters on places let a pair pass there if they do anywhere. Where the lists share none, all buckets count.
+    """
     short = [c for c in left.columns if c.startswith("short")]
-    names = {"gid": "other", "n": "m", "pos": "place", "node": "b", "label": "lb", **{c: f"other_{c}" for c in short}}
+    names = {"gid": "other", "n": "m", "pos": "place", "node": "b", "label": "lb", "firsts": "other_firsts", **{c: f"other_{c}" for c in short}}
     met = left.withColumnsRenamed({"node": "a", "label": "la"}).join(right.withColumnsRenamed(names), "token")
     can = (F.col("gid") == F.col("other")) | _can_link(num, den)
     if short:
@@ -389,6 +399,8 @@ def _other_pairs(left: DataFrame, right: DataFrame, num: int, den: int) -> DataF
         only = lambda u, v: sum(F.bit_count(F.col(u.format(c)).bitwiseAND(F.bitwise_not(F.col(v.format(c))))) for c in short)
         least = num * (F.col("n").cast("bigint") + F.col("m"))
         can = can & ((num + den) * (F.col("n") - only("{}", "other_{}")) >= least) & ((num + den) * (F.col("m") - only("other_{}", "{}")) >= least)
+        # the last condition, so it is evaluated for few pairs
+        can = can & (F.coalesce(F.get(F.array_intersect("firsts", "other_firsts"), F.lit(0)), F.col("token")) == F.col("token"))
     met = met.filter("a < b AND la <> lb").filter(can)
     return met.select("a", "b").distinct()
 
@@ -397,7 +409,7 @@ def _rest_pairs(open_: DataFrame, marked: DataFrame, num: int, den: int) -> Data
     """(a, b): all pairs of a bucket with different labels that can link.
 
     In crowded buckets every row bears a short outline of its set, so that of the pairs of a large group only those leave the join that
-    may reach the threshold; outlines of 1,024 bits tell less of sets of over a thousand shingles, and lose no pair of any.
+    may reach the threshold, and most of them once; outlines of 1,024 bits tell less of sets of over a thousand shingles, and lose no pair of any.
     """
     spark = open_.sparkSession
     each = open_.groupBy("token", "label").agg(F.count("*").alias("k")).groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same"))
@@ -411,7 +423,9 @@ def _rest_pairs(open_: DataFrame, marked: DataFrame, num: int, den: int) -> Data
     short = short.select("node", F.col("n").cast("int").alias("n"),
                          *[F.coalesce(F.col("told")[i], F.lit(0).cast("bigint")).alias(f"short{i}") for i in range(SHORT_BITS // 64)])
     # every row of a bucket is of a text of its node, and n is the size of that text's set
-    full = cut_lineage(full.join(short.distinct(), ["node", "n"]), "full")
+    firsts = (full.select("gid", "pos", "token").distinct().groupBy("gid").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("every"))
+              .select("gid", F.slice("every", 1, FIRSTS)["token"].alias("firsts")))
+    full = cut_lineage(full.join(short.distinct(), ["node", "n"]).join(firsts, "gid"), "full")
     return _other_pairs(calm, calm, num, den).unionByName(_other_pairs(full, full, num, den)).distinct()
 
 
@@ -440,13 +454,17 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     per = Window.partitionBy("token")
     hub = lambda seed: F.min(F.struct(F.xxhash64("gid", F.lit(seed)).alias("turn"), "gid", "n", "pos")).over(per)
     met = tokens.repartition("token").groupBy("token", "gid").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
-    met = met.withColumns({"k": F.count("*").over(per), "hub1": hub(1), "hub2": hub(2)}).filter("k > 1").drop("k")
-    alone = own.withColumns({f"hub{i}": F.struct(F.lit(0).cast("bigint").alias("turn"), "gid", "n", "pos") for i in (1, 2)})
+    met = met.withColumns({"k": F.count("*").over(per), "hub1": hub(1), "hub2": hub(2)}).filter("k > 1")
+    # a hub is written where it is another group's and not the first one again, without its turn: half of a bucket's bytes
+    told = lambda i: F.struct(*[F.col(f"hub{i}.{c}").alias(c) for c in ("gid", "n", "pos")])
+    met = met.select("token", "gid", "n", "pos", F.when(F.col("hub1.gid") != F.col("gid"), told(1)).alias("hub1"),
+                     F.when((F.col("hub2.gid") != F.col("gid")) & (F.col("hub2.gid") != F.col("hub1.gid")), told(2)).alias("hub2"))
+    alone = own.withColumns({"hub1": F.struct("gid", "n", "pos"), "hub2": F.lit(None).cast("struct<gid: bigint, n: int, pos: int>")})
     buckets = cut_lineage(met.unionByName(alone), "buckets")
 
     # every group against two hubs of each of its buckets
     hubs = buckets.select("gid", "n", "pos", F.explode(F.array("hub1", "hub2")).alias("hub")).select(
-        "gid", "n", "pos", F.col("hub.gid").alias("other"), F.col("hub.n").alias("m"), F.col("hub.pos").alias("place"))
+        "gid", "n", "pos", F.col("hub.gid").alias("other"), F.col("hub.n").alias("m"), F.col("hub.pos").alias("place")).filter("other IS NOT NULL")
     hubs = hubs.filter((F.col("gid") == F.col("other")) | _can_link(num, den)).select("gid", "other").distinct()
     node = classes.select("gid", "node").distinct()
     head = classes.groupBy("gid").agg(F.min("node").alias("head")).withColumnRenamed("gid", "other")

@@ -6,7 +6,11 @@ joins are equi-joins on (gene, bin): a gene with very many rows is spread over i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.sequence import revcomp
 from .filters import Thresholds, passing
@@ -330,79 +334,127 @@ def chain_key(splices: Column) -> Column:
     return F.array_join(F.transform(splices, lambda x: F.concat_ws("-", x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
-def splice_rows(exons: DataFrame, length: int) -> DataFrame:
-    """One row per splice of every isoform: its spliced offset ``p0``, that of the next one ``p1``, the isoform's
-    ``total``, and ``near``: the splices (with offsets ``p``) that a window of ``length`` starting in it can touch.
-    """
-    full = F.zip_with(F.col("sp"), F.slice("pre", 1, F.size("sp")), lambda x, p: F.struct(
-        x["s"].alias("s"), x["e"].alias("e"), p.alias("p")))
-    def row(x: Column, i: Column) -> Column:
-        after = x["p"] + x["e"] - x["s"]
-        near = F.filter(F.slice("full", i + 1, F.lit(length + 2)), lambda y: y["p"] < after + length)
-        return F.struct(x["p"].alias("p0"), after.alias("p1"), near.alias("near"))
-
-    return (_ordered(exons).withColumn("full", full)
-            .select("gene", "tx_id", "strand", F.element_at("pre", -1).alias("total"), F.explode(F.transform("full", row)).alias("r"))
-            .select("gene", "tx_id", "strand", "total", "r.p0", "r.p1", "r.near"))
-
-
-def spliced_runs(exons: DataFrame, length: int = 40, tolerance: int = 10) -> DataFrame:
-    """Runs of spliced window starts [off, off_end) that touch the same splices, with their isoforms.
+def _run_rows(length: int, tolerance: int, longest: int):
+    """Kernel of ``spliced_runs``: the isoforms of a batch lie behind one another on one line, on which splices and changes are looked up."""
+    half = length // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            lists = rb.column("sp")
+            cuts = lists.offsets.to_numpy().astype(np.int64)
+            s, e = (lists.values.field(c).to_numpy()[cuts[0]:cuts[-1]] for c in ("s", "e"))
+            cuts -= cuts[0]
+            rows, count = rb.num_rows, np.diff(cuts)
+            owner = np.repeat(np.arange(rows), count)
+            before = np.concatenate([[0], np.cumsum(e - s)])
+            pre = before[:-1] - before[cuts[:-1]][owner]
+            total = before[cuts[1:]] - before[cuts[:-1]]
+            base = np.concatenate([[0], np.cumsum(total + length + tolerance)])[:-1]
+            at = base[owner] + pre
+
+            # a run starts at the first window, where the window or its middle enters or leaves a splice, and every ``longest`` windows
+            lo, hi = base + 1, base + total - length
+            extra = np.maximum(total // longest, 0)
+            turn = np.arange(int(extra.sum())) - np.repeat(np.cumsum(extra) - extra, extra)
+            points = np.unique(np.concatenate([lo, *[at - d for d in (0, length, half - tolerance, half + tolerance)],
+                                               np.repeat(base, extra) + (turn + 1) * longest]))
+            row = np.searchsorted(base, points, "right") - 1
+            fits = (row >= 0) & (points >= lo[row]) & (points < hi[row])
+            points, row = points[fits], row[fits]
+            ends = np.minimum(np.append(points[1:], np.iinfo(np.int64).max), hi[row])
+
+            def place(offset: int) -> np.ndarray:
+                return np.searchsorted(at, points + offset, "right") - 1
+
+            first, last, t1, t2 = place(0), place(length), place(half - tolerance), place(half + tolerance)
+            off, off_end = points - base[row], ends - base[row]
+            start, end = s[first] + off - pre[first], s[last] + off + length - pre[last]
+
+            # chains that an isoform holds and a window of another may ask for: what lies between their outer splices is short
+            splice, size = np.arange(len(s)), np.concatenate([pre[1:], [0]])
+            size[cuts[1:][count > 0] - 1] = total[count > 0]
+            held, n = [], 1
+            while len(splice):
+                inner = pre[splice + n - 1] - size[splice] if n > 1 else np.full(len(splice), -1)
+                splice = splice[inner < 2 * tolerance]
+                held.append((splice[size[splice + n - 1] - pre[splice] > 2 * tolerance], n))
+                n += 1
+                splice = splice[splice + n - 1 < cuts[1:][owner[splice]]]
+            head, many = np.concatenate([h for h, _ in held] or [splice]), np.concatenate([np.full(len(h), k) for h, k in held] or [splice])
+            asked = np.unique(t1 * n + t2 - t1)
+            idle = ~np.isin(head * n + many - 1, asked)
+            head, many = head[idle], many[idle]
+
+            # rows: the runs, then the chains without a window of their own
+            none = len(head)
+            chain_at, chain_n = np.concatenate([t1, head]), np.concatenate([t2 - t1 + 1, many])
+            index = pa.array(np.concatenate([row, owner[head]]))
+            link = _stretches(chain_at, chain_n)
+            pairs = np.stack([s[link], e[link]], 1).astype("<i8")
+            chains = pa.BinaryArray.from_buffers(pa.binary(), len(chain_n), [None, pa.py_buffer(_offsets(chain_n * 16)), pa.py_buffer(pairs.tobytes())])
+            touch = _stretches(first, last - first + 1)
+            touched = pa.ListArray.from_arrays(pa.array(_offsets(np.concatenate([last - first + 1, np.zeros(none, np.int64)]))),
+                                               pa.StructArray.from_arrays([pa.array(s[touch]), pa.array(e[touch])], ["s", "e"]))
+            texts = _spliced(rb.column("seq"), s, e, cuts)
+            pieces = [texts[r][a:b + length - 1] for r, a, b in zip(row.tolist(), off.tolist(), off_end.tolist())] + [""] * none
+            wide = [np.concatenate([x, np.zeros(none, np.int64)]) for x in (off, off_end, start, end)]
+            yield pa.RecordBatch.from_arrays(
+                [*[rb.column(c).take(index) for c in ("gene", "tx_id", "strand")], chains, pa.array(chain_n), *map(pa.array, wide), touched,
+                 pa.array(pieces, pa.string())], names=["gene", "tx_id", "strand", "chain", "n", "off", "off_end", "start", "end", "touched", "piece"])
+
+    return run
+
+
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+
+
+def _stretches(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each stretch, behind one another."""
+    return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def _spliced(seqs: pa.Array, s: np.ndarray, e: np.ndarray, cuts: np.ndarray) -> list[str]:
+    """The text of each row's splices, joined; places count from 1, and what lies beyond the text is left out."""
+    out = []
+    for i, seq in enumerate(seqs.to_pylist()):
+        part = slice(cuts[i], cuts[i + 1])
+        text, n = seq or "", len(seq or "")
+        # as substring() reads its place: 0 is the first base, what is below counts from the end
+        places = [(a - 1 if a > 0 else n + a if a < 0 else 0, b - a) for a, b in zip(s[part].tolist(), e[part].tolist())]
+        out.append("".join([text[max(a, 0):max(a + k, 0)] for a, k in places]))
+    return out
+
+
+def spliced_runs(loci: DataFrame, exons: DataFrame, length: int = 40, tolerance: int = 10) -> DataFrame:
+    """Runs of spliced window starts [off, off_end) that touch the same splices, with their isoforms and their text ``piece``.
 
     ``touched`` are the splices of the window, ``n`` the number of splices within ``tolerance`` spliced bases of its
     middle, ``target_isoforms`` the isoforms that hold those in a row. ``start`` and ``end`` are the genomic ends of
-    the first window; later ones move along. One row per run, so chains are looked up before any window exists.
+    the first window; later ones move along. One row per run, so isoforms are looked up before any window exists. Each isoform is read once: it lists
+    its runs and the other chains that it holds, and rows of a gene's chain meet in one place.
     """
-    rows, half = splice_rows(exons, length), length // 2
-    shifts = (length, half - tolerance, half + tolerance)
-
-    def changes(d: int) -> Column:
-        return F.filter(F.transform("near", lambda x: x["p"] - d), lambda c: (c > F.col("p0")) & (c < F.col("p1")))
-
-    points = F.array_sort(F.array_distinct(F.concat(F.array("p0", "p1"), *[changes(d) for d in shifts])))
-    pairs = F.zip_with(F.col("c"), F.slice("c", 2, F.size("c")), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    runs = (rows.withColumn("c", points).withColumn("r", F.explode(pairs)).filter("r.b IS NOT NULL")
-            .withColumn("off", F.greatest(F.col("r.a"), F.lit(1))).withColumn("off_end", F.least(F.col("r.b"), F.col("total") - length))
-            .filter("off_end > off"))
-
-    def place(offset: Column) -> Column:
-        return F.size(F.filter("near", lambda x: x["p"] <= offset))
-
-    def genomic(offset: Column, at: Column) -> Column:
-        return F.element_at("near", at)["s"] + offset - F.element_at("near", at)["p"]
-
-    off = F.col("off")
-    runs = (runs.withColumn("i2", place(off + length)).withColumn("t1", place(off + half - tolerance))
-            .withColumn("t2", place(off + half + tolerance)))
-    chain = F.slice("near", F.col("t1"), F.col("t2") - F.col("t1") + 1)
-    runs = runs.select(
-        "gene", "tx_id", "strand", "total", "off", "off_end", genomic(off, F.lit(1)).alias("start"),
-        genomic(off + length, F.col("i2")).alias("end"),
-        F.transform(F.slice("near", F.lit(1), F.col("i2")), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias("touched"),
-        (F.col("t2") - F.col("t1") + 1).cast("bigint").alias("n"), F.element_at(chain, 1)["s"].alias("chain_start"),
-        chain_key(chain).alias("chain"))
-    asked = runs.select("gene", "n", "chain", "chain_start").distinct()
-    held = rows.select("gene", "tx_id", F.element_at("near", 1)["s"].alias("chain_start"), "near")
-    found = (asked.join(held, ["gene", "chain_start"]).filter(chain_key(F.slice("near", F.lit(1), F.col("n").cast("int"))) == F.col("chain"))
-             .groupBy("gene", "chain").agg(F.array_sort(F.collect_set("tx_id")).alias("target_isoforms")))
-    return runs.join(found, ["gene", "chain"]).drop("chain", "chain_start")
+    rows = (_ordered(exons).filter("tx_id IS NOT NULL").join(loci.select("gene", "seq"), "gene")
+            .select("gene", "tx_id", "strand", "sp", "seq"))
+    bounds = "chain binary, n bigint, off bigint, off_end bigint, start bigint, end bigint, touched array<struct<s: bigint, e: bigint>>, piece string"
+    schema = T.StructType([rows.schema[c] for c in ("gene", "tx_id", "strand")] + T.StructType.fromDDL(bounds).fields)
+    held = F.array_sort(F.collect_set("tx_id").over(Window.partitionBy("gene", "chain")))
+    return (rows.mapInArrow(_run_rows(length, tolerance, PIECE // 4), schema).withColumn("target_isoforms", held)
+            .filter("off_end > off").drop("chain"))
 
 
 def spliced_windows(loci: DataFrame, exons: DataFrame, length: int = 40, tolerance: int = 10) -> DataFrame:
     """Windows of ``length`` exonic bases of every isoform, walked in spliced coordinates, with target metrics.
 
     ``target`` is the spliced target on the strand of the isoform. Windows are made run by run from the text next to
-    it, so a row never carries a whole gene and nothing is shuffled after the windows appear.
+    it, and nothing is shuffled after the windows appear.
     """
-    text = F.array_join(F.transform("sp", lambda x: F.col("seq").substr(x["s"].cast("int"), (x["e"] - x["s"]).cast("int"))), "")
-    spliced = _ordered(exons).join(loci.select("gene", "seq"), "gene").select("gene", "tx_id", text.alias("spliced"))
     count = F.col("off_end") - F.col("off")
-    pieces = spliced_runs(exons, length, tolerance).join(spliced, ["gene", "tx_id"]).withColumn(
-        "piece", F.col("spliced").substr((F.col("off") + 1).cast("int"), (count + length - 1).cast("int")))
-    pieces = (pieces.withColumn("piece", F.when(F.col("strand") == -1, revcomp("piece")).otherwise(F.col("piece")))
+    pieces = (spliced_runs(loci, exons, length, tolerance)
+              .withColumn("piece", F.when(F.col("strand") == -1, revcomp("piece")).otherwise(F.col("piece")))
               .withColumn("last", count - 1).withColumn("win_from", F.lit(0)).withColumn("win_to", count))
     keys = ["gene", "tx_id", "strand", "off", "last", "start", "end", "touched", "n", "target_isoforms"]
-    w = with_metrics(rolling_windows(pieces, keys, length, probe_strand=False), length, probe_strand=False)
+    w = with_metrics(rolling_windows(pieces, keys, length, probe_strand=False, listed=True), length, probe_strand=False)
     # on strand -1 the text is turned, so the windows of a run come from its end
     along = F.when(F.col("strand") == -1, F.col("last") - F.col("rel")).otherwise(F.col("rel"))
     return (w.withColumn("along", along).withColumn("off", F.col("off") + F.col("along"))

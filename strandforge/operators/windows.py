@@ -63,8 +63,9 @@ def _near_limits(length: int, cut: int, table: NearestNeighbour, t):
     return share, fits
 
 
-def _rolling(length: int, cut: int, weights: np.ndarray, rotated: bool, base: int, keys: list[str], near=None, target: bool = True):
-    """Kernel: for every window start in [win_from, win_to) of a piece, sums of its two parts; ``near`` leaves windows out early."""
+def _rolling(length: int, cut: int, weights: np.ndarray, rotated: bool, base: int, keys: list[str], near=None, target: bool = True, listed: bool = False):
+    """Kernel: for every window start in [win_from, win_to) of a piece, sums of its two parts; ``near`` leaves windows out early. ``listed``: a row
+    per piece, which holds its windows as a list, so that keys are not copied to every window."""
     codes = np.full(256, 4, np.uint8)
     codes[np.frombuffer(b"ACGT", np.uint8)] = np.arange(4)
     weights = weights.astype(np.int32)
@@ -115,13 +116,16 @@ def _rolling(length: int, cut: int, weights: np.ndarray, rotated: bool, base: in
                         texts = [pa.StringArray.from_buffers(
                             len(p), pa.py_buffer(np.arange(0, length * len(p) + 1, length, dtype=np.int32)),
                             pa.py_buffer(np.ascontiguousarray(view)))]
-                    index = pa.array(owner + row)
-                    yield pa.RecordBatch.from_arrays(
-                        [rb.column(k).take(index) for k in keys]
-                        + [pa.array(rel), *texts, pa.array(n_base.astype(np.int32)),
-                           pa.array((bad[p + length] - bad[p]).astype(np.int32))]
-                        + [pa.array(x.astype(np.int32)) for x in sums],
-                        names=keys + ["rel", *["target"][:len(texts)], "n_base", "n_bad"] + _SUMS)
+                    names = ["rel", *["target"][:len(texts)], "n_base", "n_bad"] + _SUMS
+                    columns = [pa.array(rel), *texts, pa.array(n_base.astype(np.int32)), pa.array((bad[p + length] - bad[p]).astype(np.int32)),
+                               *[pa.array(x.astype(np.int32)) for x in sums]]
+                    if listed:
+                        cuts = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=stop - row))]).astype(np.int32)
+                        lists = pa.ListArray.from_arrays(pa.array(cuts), pa.StructArray.from_arrays(columns, names))
+                        yield pa.RecordBatch.from_arrays([*[rb.column(k).slice(row, stop - row) for k in keys], lists], names=[*keys, "windows"])
+                    else:
+                        index = pa.array(owner + row)
+                        yield pa.RecordBatch.from_arrays([rb.column(k).take(index) for k in keys] + columns, names=keys + names)
                 row = stop
 
     return run
@@ -137,14 +141,14 @@ def _weights(table: NearestNeighbour, complement: bool) -> np.ndarray:
 
 
 def rolling_windows(pieces: DataFrame, keys: list[str], length: int, probe_strand: bool = True,
-                    table: NearestNeighbour = TABLES["DNA_RNA"], limits=None, target: bool = True) -> DataFrame:
+                    table: NearestNeighbour = TABLES["DNA_RNA"], limits=None, target: bool = True, listed: bool = False) -> DataFrame:
     """All windows of ``pieces`` that start in ``[win_from, win_to)`` (piece coordinates).
 
     ``probe_strand=True`` reads the reverse complement with its halves rotated, as probes are scored;
     ``False`` reads the target itself. Adds ``rel``, ``target``, ``n_base`` (G of the strand read),
     ``n_bad`` and the six sums, in which ``a`` is the front part of the target and ``j`` the seam.
     With ``limits`` most windows that ``filters.passing`` would drop stay in the kernel; it is still to be applied. ``target=False``
-    leaves the text of the windows out.
+    leaves the text of the windows out. ``listed`` brings the windows of a piece out of the kernel as one row, for short pieces with wide keys.
     """
     cut = length - length // 2 if probe_strand else length // 2
     ends_count = bool(table.end_at_h or table.end_at_s)
@@ -152,13 +156,17 @@ def rolling_windows(pieces: DataFrame, keys: list[str], length: int, probe_stran
         raise ValueError("this table corrects for the ends of a duplex, which are read from the target")
     near = _near_limits(length, cut, table, limits) if limits is not None and not ends_count else None
     kernel = _rolling(length, cut, _weights(table, probe_strand), probe_strand,
-                      "ACGT".index("C" if probe_strand else "G"), keys, near, target)
-    fields = [pieces.schema[k] for k in keys] + [
+                      "ACGT".index("C" if probe_strand else "G"), keys, near, target, listed)
+    fields = [
         T.StructField("rel", T.LongType()), *[T.StructField("target", T.StringType())][:int(target)],
         T.StructField("n_base", T.IntegerType()), T.StructField("n_bad", T.IntegerType()),
     ] + [T.StructField(c, T.IntegerType()) for c in _SUMS]
-    return pieces.select(*keys, "piece", F.col("win_from").cast("bigint").alias("win_from"),
-                         F.col("win_to").cast("bigint").alias("win_to")).mapInArrow(kernel, T.StructType(fields))
+    held, rows = [pieces.schema[k] for k in keys], pieces.select(*keys, "piece", F.col("win_from").cast("bigint").alias("win_from"),
+                                                                 F.col("win_to").cast("bigint").alias("win_to"))
+    if listed:
+        lists = T.StructField("windows", T.ArrayType(T.StructType(fields)))
+        return rows.mapInArrow(kernel, T.StructType([*held, lists])).select(*keys, F.inline("windows"))
+    return rows.mapInArrow(kernel, T.StructType([*held, *fields]))
 
 
 def with_metrics(windows: DataFrame, length: int, probe_strand: bool = True,

@@ -12,7 +12,7 @@ from ..functions.letters import blocks, kernel
 from ..functions.thermo import DNA_RNA, melting_points
 
 _PAIRED = {"A": "T", "C": "G", "G": "C", "T": "A"}
-PAIR = "struct<arm5_len:int,arm3_len:int,tm5:double,tm3:double,bds5:string,bds3:string,score:double>"
+PAIR = "struct<arm5_len:int,arm3_len:int,tm5:double,tm3:double,score:double>"
 FIGURES = "struct<n:bigint,n5:bigint,n3:bigint,bds5:string,bds3:string,tm5:double,tm3:double,score:bigint>"
 
 
@@ -92,7 +92,7 @@ def _strings(x: np.ndarray) -> pa.Array:
 
 
 def _weighed(shortest: int, longest: int, start: int):
-    """Of a block of points: every pair of their arm lengths, in order, with temperatures and scores."""
+    """Of a block of points: every pair of their arm lengths, in order, with temperatures and scores in hundredths."""
     sizes = np.arange(shortest, longest + 1)
 
     def run(m: np.ndarray, pos5: np.ndarray, pos3: np.ndarray, energy: np.ndarray):
@@ -102,8 +102,13 @@ def _weighed(shortest: int, longest: int, start: int):
         tm5 = rounded(_melted(h, s, cut - sizes, np.broadcast_to(cut, ok5.shape), ok5), 2)
         tm3 = rounded(_melted(h, s, np.broadcast_to(first, ok3.shape), first + sizes, ok3), 2)
         off = np.abs(sizes - start)
-        score = rounded(np.abs(tm5[:, :, None] - tm3[:, None, :]) + off[:, None] + off - energy[:, None, None], 2)
-        return sizes, ok5, ok3, tm5, tm3, score, known
+        if energy.any():
+            cents = np.rint(rounded(np.abs(tm5[:, :, None] - tm3[:, None, :]) + off[:, None] + off - energy[:, None, None], 2) * 100).astype(np.int64)
+        else:
+            # temperatures have two decimals, so scores are whole hundredths
+            c5, c3 = (np.rint(x * 100).astype(np.int32) for x in (tm5, tm3))
+            cents = np.abs(c5[:, :, None] - c3[:, None, :]) + (off[:, None] + off).astype(np.int32) * 100
+        return sizes, ok5, ok3, tm5, tm3, cents, known
 
     return run
 
@@ -119,43 +124,100 @@ def _points(target: pa.Array, pos5: pa.Array, pos3: pa.Array, energy: pa.Array):
             yield part, m[i:i + 2048], *[x[part] for x in places]
 
 
-@kernel(f"array<{PAIR}>")
-def pairs(shortest: int, longest: int, start: int, best: int | None):
-    """Column function of (target, pos5, pos3, energy): all pairs of arms, or the ``best`` by score and then lengths."""
+def _first(cents: np.ndarray, fits: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place): the ``best`` smallest of each row that fit, in order; equal ones by place."""
+    many = cents.shape[1]
+    none = np.iinfo(np.int64).max
+    by = np.where(fits, cents.astype(np.int64) * many + np.arange(many), none)
+    if best < many:
+        by = np.partition(by, best - 1, axis=1)[:, :best]
+    by.sort(axis=1)
+    r, at = np.nonzero(by != none)
+    return r, by[r, at] % many
+
+
+def _designs(shortest: int, longest: int, start: int, best: int | None):
+    """Of flat points: where the designs of each end, and their columns; in the order of lengths, or the ``best`` by score and then lengths."""
     weigh = _weighed(shortest, longest, start)
 
-    def made(target: pa.Array, pos5: pa.Array, pos3: pa.Array, energy: pa.Array) -> pa.Array:
+    def made(target: pa.Array, pos5: pa.Array, pos3: pa.Array, energy: pa.Array) -> tuple[np.ndarray, list[pa.Array]]:
         owner, held = [np.zeros(0, np.int64)], []
         for rows, m, p5, p3, e in _points(target, pos5, pos3, energy):
-            sizes, ok5, ok3, tm5, tm3, score, known = weigh(m, p5, p3, e)
-            k = len(sizes)
+            sizes, ok5, ok3, tm5, tm3, cents, known = weigh(m, p5, p3, e)
+            k, cents = len(sizes), cents.reshape(len(rows), -1)
             fits = (ok5[:, :, None] & ok3[:, None, :]).reshape(len(rows), -1)
-            if best is None:
-                r, c = np.nonzero(fits)
-            else:
-                # no score, no difference: those of unknown letters stay in order
-                by = np.where(fits, np.where(known[:, None], score.reshape(len(rows), -1), 0.0), np.inf)
-                order = np.argsort(by, axis=1, kind="stable")[:, :best]
-                r, at = np.nonzero(np.take_along_axis(fits, order, 1))
-                c = order[r, at]
+            # no score, no difference: those of unknown letters stay in order
+            r, c = np.nonzero(fits) if best is None else _first(np.where(known[:, None], cents, 0), fits, best)
             x, y, unknown = c // k, c % k, ~known[r]
-            if best is None:          # each arm is cut once and taken by its pairs
-                every, size = np.repeat(np.arange(len(rows)), k), np.tile(sizes, len(rows))
-                b5 = _texts(m, every, (p5[every] + 1 - size), np.where(ok5.ravel(), size, 0))[r * k + x]
-                b3 = _texts(m, every, p3[every], np.where(ok3.ravel(), size, 0))[r * k + y]
-            else:
-                b5, b3 = _texts(m, r, p5[r] + 1 - sizes[x], sizes[x]), _texts(m, r, p3[r], sizes[y])
             owner.append(rows[r])
-            held.append([pa.array(sizes[x].astype(np.int32)), pa.array(sizes[y].astype(np.int32)), pa.array(tm5[r, x], mask=unknown),
-                         pa.array(tm3[r, y], mask=unknown), _strings(b5), _strings(b3),
-                         pa.array(score.reshape(len(rows), -1)[r, c], mask=unknown)])
-        names = ["arm5_len", "arm3_len", "tm5", "tm3", "bds5", "bds3", "score"]
-        types = [pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.string(), pa.string(), pa.float64()]
+            held.append([sizes[x].astype(np.int32), sizes[y].astype(np.int32), tm5[r, x], tm3[r, y], cents[r, c] / 100.0, unknown])
         rows = np.concatenate(owner)
         order = np.argsort(rows, kind="stable")
-        columns = [pa.chunked_array([h[i] for h in held], t).combine_chunks().take(pa.array(order)) if held else pa.array([], t) for i, t in enumerate(types)]
-        ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(target)))]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, names))
+        if not held:
+            held = [[np.zeros(0, np.int32)] * 2 + [np.zeros(0)] * 3 + [np.zeros(0, bool)]]
+        *columns, unknown = [np.concatenate([h[i] for h in held])[order] for i in range(6)]
+        return np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(target)))]), [
+            pa.array(c, mask=None if i < 2 else unknown) for i, c in enumerate(columns)]
+
+    return made
+
+
+_NAMES = ["arm5_len", "arm3_len", "tm5", "tm3", "score"]
+
+
+def _lists(ends: np.ndarray, columns: list[pa.Array], names: list[str]) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.StructArray.from_arrays(columns, names))
+
+
+@kernel(f"array<{PAIR}>")
+def pairs(shortest: int, longest: int, start: int, best: int | None):
+    """Column function of (target, pos5, pos3, energy): all pairs of arms, or the ``best`` by score and then lengths."""
+    weighed = _designs(shortest, longest, start, best)
+    return lambda *points: _lists(*weighed(*points), _NAMES)
+
+
+@kernel(f"array<{PAIR.replace('struct<', 'struct<member:int,')}>")
+def ranked(shortest: int, longest: int, start: int):
+    """Column function of an array of points (target, pos5, pos3, energy): the pairs of all of them by score and then lengths, with the place of their point."""
+    weighed = _designs(shortest, longest, start, (longest - shortest + 1) ** 2)
+
+    def made(points: pa.Array) -> pa.Array:
+        flat = points.flatten()
+        ends, columns = weighed(*[flat.field(i) for i in range(4)])
+        sizes = pa.compute.list_value_length(points).fill_null(0).to_numpy()
+        cuts = np.concatenate([[0], np.cumsum(sizes)])
+        place = np.arange(len(flat)) - np.repeat(cuts[:-1], sizes)
+        member = np.repeat(place, np.diff(ends))
+        if (sizes > 1).any():
+            row = np.repeat(np.repeat(np.arange(len(points)), sizes), np.diff(ends))
+            score = columns[4].fill_null(-np.inf).to_numpy()          # no score comes first, as in a sort
+            order = np.lexsort((member, columns[1].to_numpy(), columns[0].to_numpy(), score, row))
+            member, columns = member[order], [c.take(pa.array(order)) for c in columns]
+        return _lists(ends[cuts], [pa.array(member.astype(np.int32)), *columns], ["member", *_NAMES])
+
+    return made
+
+
+@kernel("struct<bds5:array<string>,bds3:array<string>>")
+def texts(shortest: int, longest: int):
+    """Column function of (target, pos5, pos3): the reverse complements of the arms of each length, null where one would run off the target."""
+    sizes = np.arange(shortest, longest + 1)
+
+    def made(target: pa.Array, pos5: pa.Array, pos3: pa.Array) -> pa.Array:
+        k, none = len(sizes), pa.array(np.zeros(len(target)))
+        at, held = np.full(len(target), -1), ([], [])
+        for rows, m, p5, p3, _ in _points(target, pos5, pos3, none):
+            n, every, size = m.shape[1], np.repeat(np.arange(len(rows)), k), np.tile(sizes, len(rows))
+            cut = (p5 + 1)[:, None]
+            at[rows] = np.arange(len(rows)) + sum(map(len, held[0])) // k
+            for out, first, ok in zip(held, (p5[every] + 1 - size, p3[every]), ((sizes <= cut) & (cut <= n), (p3[:, None] >= 0) & (p3[:, None] + sizes <= n))):
+                ok = ok.ravel()
+                out.append(pa.compute.if_else(pa.array(ok), _strings(_texts(m, every, first, np.where(ok, size, 0))), pa.scalar(None, pa.string())))
+        some = np.where(at < 0, 0, k)
+        index = pa.array(np.repeat(at * k, some) + np.arange(int(some.sum())) % k)
+        ends = pa.array(np.concatenate([[0], np.cumsum(some)]).astype(np.int32))
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, (pa.chunked_array(x, pa.string()).combine_chunks() if x else pa.array([], pa.string())).take(index))
+                                           for x in held], ["bds5", "bds3"])
 
     return made
 
@@ -170,23 +232,28 @@ def figures(shortest: int, longest: int, start: int):
         n = len(target)
         whole = {c: np.zeros(n, np.int64) for c in ("n", "n5", "n3", "score")}
         temps = {c: np.zeros(n) for c in ("tm5", "tm3")}
-        texts = {c: np.full(n, None, object) for c in ("bds5", "bds3")}
+        largest, held = {c: [] for c in ("bds5", "bds3")}, []
         melts = np.zeros(n, bool)
         for rows, m, p5, p3, e in _points(target, pos5, pos3, energy):
-            sizes, ok5, ok3, tm5, tm3, score, known = weigh(m, p5, p3, e)
+            sizes, ok5, ok3, tm5, tm3, cents, known = weigh(m, p5, p3, e)
             c5, c3 = ok5.sum(1), ok3.sum(1)
             whole["n"][rows], whole["n5"][rows], whole["n3"][rows] = c5 * c3, (ok5 * sizes).sum(1) * c3, (ok3 * sizes).sum(1) * c5
-            whole["score"][rows] = (np.rint(score * 100) * ok5[:, :, None] * ok3[:, None, :]).sum((1, 2)).astype(np.int64)
+            whole["score"][rows] = (cents * (ok5[:, :, None] & ok3[:, None, :])).sum((1, 2), dtype=np.int64)
             temps["tm5"][rows], temps["tm3"][rows] = np.where(ok5, tm5, -np.inf).max(1), np.where(ok3, tm3, -np.inf).max(1)
             melts[rows] = known
             some = np.flatnonzero((c5 > 0) & (c3 > 0))
+            held.append(rows[some])
             # of arms with the same end the longest is the largest text
             for c, pick, end in (("bds5", len(sizes) - 1 - ok5[:, ::-1].argmax(1), True), ("bds3", _largest(m, p3[:, None], sizes, ok3, known), False)):
                 size = sizes[pick[some]]
-                texts[c][rows[some]] = _strings(_texts(m, some, p5[some] + 1 - size if end else p3[some], size)).to_pylist()
-        none, empty = ~melts | (whole["n"] == 0), whole["n"] == 0
+                largest[c].append(_strings(_texts(m, some, p5[some] + 1 - size if end else p3[some], size)))
+        none, at = ~melts | (whole["n"] == 0), np.full(n, -1)
+        if held:
+            at[np.concatenate(held)] = np.arange(sum(map(len, held)))
+        index = pa.array(at, mask=at < 0)
         return pa.StructArray.from_arrays(
-            [pa.array(whole["n"]), pa.array(whole["n5"]), pa.array(whole["n3"]), *[pa.array(np.where(empty, None, texts[c]), pa.string()) for c in ("bds5", "bds3")],
+            [pa.array(whole["n"]), pa.array(whole["n5"]), pa.array(whole["n3"]), 
+             *[pa.chunked_array(largest[c], pa.string()).combine_chunks().take(index) if held else pa.nulls(n, pa.string()) for c in ("bds5", "bds3")],
              *[pa.array(temps[c], mask=none) for c in ("tm5", "tm3")], pa.array(whole["score"], mask=none)],
             ["n", "n5", "n3", "bds5", "bds3", "tm5", "tm3", "score"])
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.sequence import flip_position, mutate, revcomp, rounded
 from ..functions.thermo import tm_nn
+from ..session import cut_lineage
 from . import arms
 from .extraction import fetch_regions, genome_chunks
 from .windows import PIECE, cut_pieces
@@ -35,6 +36,8 @@ def _around(variants: DataFrame, out: str, pad: int, seq: str, regions: DataFram
     size = F.col("v_end") + pad - first + 1
     if regions is None:
         return variants.withColumn(out, F.col(seq).substr(first.cast("int"), size.cast("int")))
+    # written once: short and long ones, and the bases that these ask for, are read from it, and what made the variants is not done again
+    variants = cut_lineage(variants, "variants")
     overlap = 2 * pad + LONGEST
     piece = max(PIECE, overlap)
     texts = regions.select(F.col(region).alias("_region"), F.col(seq).alias("_seq"))
@@ -96,16 +99,29 @@ def junctions(variants: DataFrame, seq: str = "seq", pad: int = PAD, regions: Da
 
 
 def arm_grid(points: DataFrame, shortest: int = ARM_MIN, longest: int = ARM_MAX, start: int = ARM_START,
-             mfe: str | None = None, best: int | None = None) -> DataFrame:
+             mfe: str | None = None, best: int | None = None, by: list[str] | None = None) -> DataFrame:
     """All pairs of arm lengths per ligation point, with Tm of both arms and a score (smaller is better).
 
     Each arm length is scored once, from running sums over the target, before the two lists are paired. ``mfe`` names a column
     with the folding energy of the point, 0 where there is none. Arms that would run off the target are left out. With ``best`` only that
-    many designs of a point go on, those that ``rank_designs`` puts first.
+    many designs of a point go on, those that ``rank_designs`` puts first. The texts of the arms are a column of their own, made where they are asked for.
+
+    With ``by`` points that share these columns are brought together first, a hundred times fewer rows than their designs, and the grid is one row for
+    them: ``designs`` in the order of ``rank_designs``, which lists them, and ``_arms`` with the texts. ``target``, ``pos5`` and ``pos3`` stay behind unless named.
     """
-    keep = [c for c in points.columns if c != "target"]
-    made = arms.pairs(shortest, longest, start, best)(*_point(points, mfe))
-    return points.withColumn("_x", made).select(*keep, F.explode("_x").alias("x")).select(*keep, "x.*")
+    target, pos5, pos3, energy = _point(points, mfe)
+    if by is not None:
+        if best is not None:
+            raise ValueError("all designs of points that are brought together are ranked")
+        rows = points.select(*by, F.struct(target.alias("target"), pos5.alias("pos5"), pos3.alias("pos3"), energy.alias("energy")).alias("_p"))
+        held = rows.groupBy(*by).agg(F.collect_list("_p").alias("_p"))
+        texts = F.transform("_p", lambda p: F.struct(p["target"].alias("target"), p["pos5"].alias("pos5"), p["pos3"].alias("pos3")))
+        return held.select(*by, arms.ranked(shortest, longest, start)(F.col("_p")).alias("designs"), texts.alias("_arms"))
+    keep, k = [c for c in points.columns if c != "target"], shortest
+    rows = points.withColumn("_x", arms.pairs(shortest, longest, start, best)(target, pos5, pos3, energy)).withColumn("_t", arms.texts(shortest, longest)(target, pos5, pos3))
+    return rows.select(*keep, "_t", F.explode("_x").alias("x")).select(
+        *keep, "x.arm5_len", "x.arm3_len", "x.tm5", "x.tm3", F.get("_t.bds5", F.col("x.arm5_len") - k).alias("bds5"),
+        F.get("_t.bds3", F.col("x.arm3_len") - k).alias("bds3"), "x.score")
 
 
 def arm_figures(points: DataFrame, shortest: int = ARM_MIN, longest: int = ARM_MAX, start: int = ARM_START, mfe: str | None = None) -> DataFrame:
@@ -121,7 +137,20 @@ def _point(points: DataFrame, mfe: str | None) -> list[Column]:
 
 
 def rank_designs(grid: DataFrame, point: list[str]) -> DataFrame:
-    """Designs of each point by score, then arm lengths; a point has at most a few hundred."""
+    """Designs of each point by score, then arm lengths; a point has at most a few hundred.
+
+    A grid made ``by`` the columns of the point holds its designs in this order already; they are listed with their places, and nothing is shuffled or sorted.
+    """
+    if "designs" in grid.columns:
+        if set(grid.columns) - {"designs", "_arms"} != set(point):
+            raise ValueError("the grid was brought together by other columns")
+        arm = F.get("_arms", F.col("x.member"))
+        end = arm["pos5"].cast("int") + 2
+        return (grid.select(*point, "_arms", F.posexplode("designs").alias("_at", "x"))
+                .select(*point, "x.arm5_len", "x.arm3_len", "x.tm5", "x.tm3",
+                        revcomp(arm["target"].substr(end - F.col("x.arm5_len"), F.col("x.arm5_len"))).alias("bds5"),
+                        revcomp(arm["target"].substr(arm["pos3"].cast("int") + 1, F.col("x.arm3_len"))).alias("bds3"),
+                        "x.score", (F.col("_at") + 1).alias("rank")))
     w = Window.partitionBy(*point).orderBy("score", "arm5_len", "arm3_len")
     return grid.withColumn("rank", F.row_number().over(w))
 

@@ -74,7 +74,8 @@ def _(spark, sf_dir):
 
 @query("rank_arm_designs", using("grid", """SELECT doc_id, allele, pos5, arm5_len, arm3_len, score, CAST(row_number() OVER (PARTITION BY doc_id, allele, pos5 ORDER BY score, arm5_len, arm3_len) AS INTEGER) AS rank FROM grid"""))
 def _(spark, sf_dir):
-    r = vr.rank_designs(grid(spark, sf_dir), ["doc_id", "allele", "pos5"])
+    point = ["doc_id", "allele", "pos5"]
+    r = vr.rank_designs(vr.arm_grid(vr.junctions(variants(spark, sf_dir)), by=point), point)
     return r.select("doc_id", "allele", "pos5", "arm5_len", "arm3_len", "score", "rank")
 
 
